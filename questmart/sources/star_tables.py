@@ -6,10 +6,13 @@ to the expressions that Spark SQL and ANSI engines share; ``{...}`` marks the fe
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 
 from questmart.functions.catalog import SERIES_OFFERS
-from questmart.schemas import Bronze
+from questmart.schemas import SCHEMAS
+from questmart.session import new_stage_path
 from questmart.sources.rates import USD_RATES, exchange_rate
 
 
@@ -219,10 +222,41 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bronze_from_star(spark: SparkSession, sf_dir: str) -> Bronze:
-    roles = {}
-    for role, text in role_sql(SparkDialect).items():
-        for table in STAR_TABLES:
-            text = text.replace(f"FROM {table}", f"FROM parquet.`{sf_dir}/{table}.parquet`")
-        roles[role] = spark.sql(text)
-    return Bronze(**roles, exchange_rate=exchange_rate(spark))
+# Stored layout of the large roles: marts filter events by type, so types become directories.
+PARTITIONED_BY = {"events": ["event_type"]}
+
+_stored: dict[tuple[str, str, str], str] = {}
+_lock = threading.Lock()
+
+
+class StarBronze:
+    """Bronze roles, each written to the shared folder when first asked for and read back as a stored table.
+
+    Marts thus read what they would read in production: columnar tables with the payload as one text column.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._spark, self._sf_dir = spark, sf_dir
+
+    def __getattr__(self, role: str) -> DataFrame:
+        if role not in SCHEMAS:
+            raise AttributeError(role)
+        if role == "exchange_rate":
+            return exchange_rate(self._spark)
+        return self._spark.read.schema(SCHEMAS[role]).parquet(self._path(role))
+
+    def _path(self, role: str) -> str:
+        key = (self._spark.sparkContext.applicationId, self._sf_dir, role)
+        with _lock:
+            if key not in _stored:
+                path = new_stage_path(self._spark, role)
+                text = role_sql(SparkDialect)[role]
+                for table in STAR_TABLES:
+                    text = text.replace(f"FROM {table}", f"FROM parquet.`{self._sf_dir}/{table}.parquet`")
+                self._spark.sql(text).write.partitionBy(*PARTITIONED_BY.get(role, [])).parquet(path)
+                _stored[key] = path
+        return _stored[key]
+
+
+def bronze_from_star(spark: SparkSession, sf_dir: str) -> StarBronze:
+    return StarBronze(spark, sf_dir)
