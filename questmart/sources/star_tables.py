@@ -133,7 +133,22 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
     )
     event_time = d.at(d.day("l_shipdate"), "CAST((l_orderkey * 7919 + l_linenumber * 60 + l_suppkey % 60) % 86400 AS INT)")
     ad_model = "CAST(p_size % 5 AS INT)"
+    k = "CAST(replace(replace(props, '{\"k\": ', ''), '}', '') AS INT)"
+    stream_offer = _pick(f"({k} % 14)", [*SERIES_OFFERS, "off_starter_pack", "off_season_pass"])
+    stream_device = _pick(f"({k} % 3)", ["iPhone 13", "Pixel 8", "IOS tablet"])
     return {
+        "stream": f"""
+            SELECT event_id,
+                   (CASE event_type WHEN 'signup' THEN 'authentication' WHEN 'error' THEN 'authentication' WHEN 'click' THEN 'error'
+                         WHEN 'purchase' THEN 'business' ELSE 'progression' END) AS event_type,
+                   (CASE event_type WHEN 'signup' THEN 'user_login' WHEN 'error' THEN 'user_logout' WHEN 'click' THEN
+                         (CASE WHEN {k} % 2 = 0 THEN 'app_crash' ELSE 'network_error' END)
+                         WHEN 'purchase' THEN 'business' ELSE 'level_start' END) AS event_subtype,
+                   CAST(ts AS TIMESTAMP) AS event_date, {txt('user_id')} AS account_id, CAST(NULL AS BIGINT) AS session_id,
+                   (CASE event_type WHEN 'signup' THEN concat('{{"device_model":"', {stream_device}, '","os_version":"os', {txt(f'{k} % 5')},
+                         '","app_version":"1.0.', {txt(f'{k} % 3')}, '"}}')
+                         WHEN 'purchase' THEN concat('{{"offer_id":"', {stream_offer}, '"}}') ELSE '{{}}' END) AS event_metadata
+            FROM events""",
         "accounts": f"""
             SELECT {txt('c_custkey')} AS account_id, c_name AS username,
                    concat(lower(c_name), '@example.org') AS email, c_custkey % 3 = 0 AS email_is_anonymized,
@@ -222,6 +237,9 @@ def read_star(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# ``stream`` is a second events table with logins and logouts but no sessions yet.
+ROLE_SCHEMAS = {**SCHEMAS, "stream": SCHEMAS["events"]}
+
 # Stored layout of the large roles: marts filter events by type, so types become directories.
 PARTITIONED_BY = {"events": ["event_type"]}
 
@@ -239,11 +257,11 @@ class StarBronze:
         self._spark, self._sf_dir = spark, sf_dir
 
     def __getattr__(self, role: str) -> DataFrame:
-        if role not in SCHEMAS:
+        if role not in ROLE_SCHEMAS:
             raise AttributeError(role)
         if role == "exchange_rate":
             return exchange_rate(self._spark)
-        return self._spark.read.schema(SCHEMAS[role]).parquet(self._path(role))
+        return self._spark.read.schema(ROLE_SCHEMAS[role]).parquet(self._path(role))
 
     def _path(self, role: str) -> str:
         key = (self._spark.sparkContext.applicationId, self._sf_dir, role)
