@@ -47,11 +47,13 @@ def _before_each_part(staged: DataFrame, totals: dict[str, Column]) -> DataFrame
     return F.broadcast(staged.sparkSession.createDataFrame(rows, schema))
 
 
-def assign_dense_ids(df: DataFrame, order: list[str], id_column: str, label: str = "ids") -> DataFrame:
-    """Numbers rows 1..n in the given order. An id that is already set is kept."""
+def assign_dense_ids(
+    df: DataFrame, order: list[str], id_column: str, label: str = "ids", after: int = 0
+) -> DataFrame:
+    """Numbers rows after+1..after+n in the given order. An id that is already set is kept."""
     staged = stage_sorted(df, order, label)
     numbered = staged.join(_before_each_part(staged, {"rows": F.count("*")}), "_part")
-    number = F.col("_before_rows") + F.col("_pos") + 1
+    number = F.col("_before_rows") + F.col("_pos") + (after + 1)
     if id_column in df.columns:
         number = F.coalesce(F.col(id_column), number)
     return numbered.withColumn(id_column, number).drop("_part", "_pos", "_before_rows")
