@@ -1,4 +1,8 @@
-"""Typed projections of the JSON event payload. Each reads the text once and adds no join."""
+"""Typed projections of the JSON event payload.
+
+A projection parses the text once into a struct of the keys it needs, instead of once per key. Values keep their JSON
+text (numbers and arrays included) and are cast where they are used; a missing key or malformed text gives NULL.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +14,13 @@ from questmart.functions.money import amount
 AD_VIEW_SUBTYPES = ["ad_shown", "reward_ad_shown"]
 
 
-def key(name: str, payload: str = "event_metadata") -> Column:
-    return F.get_json_object(payload, f"$.{name}")
+def parsed(*names: str, payload: str | Column = "event_metadata") -> Column:
+    return F.from_json(payload, ", ".join(f"{name} STRING" for name in names))
+
+
+def key(name: str, payload: str | Column = "event_metadata") -> Column:
+    """One key, for projections that need no other."""
+    return parsed(name, payload=payload)[name]
 
 
 def is_ad_view() -> Column:
@@ -20,18 +29,23 @@ def is_ad_view() -> Column:
 
 def purchases(events: DataFrame) -> DataFrame:
     """Business events with their offer, reward and cost fields."""
-    return events.where(F.col("event_type") == "business").select(
-        "event_id",
-        "account_id",
-        "session_id",
-        F.to_date("event_date").alias("event_date"),
-        key("offer_id").alias("offer_id"),
-        key("reward_id").alias("reward_id"),
-        key("reward_category").alias("reward_category"),
-        key("cost_type").alias("cost_type"),
-        key("currency_name").alias("currency_name"),
-        amount(key("cost_amount")).alias("cost_local"),
-        amount(key("exchange_rate")).alias("event_rate"),
+    doc = parsed("offer_id", "reward_id", "reward_category", "cost_type", "currency_name", "cost_amount", "exchange_rate")
+    return (
+        events.where(F.col("event_type") == "business")
+        .select("event_id", "account_id", "session_id", F.to_date("event_date").alias("event_date"), doc.alias("doc"))
+        .select(
+            "event_id",
+            "account_id",
+            "session_id",
+            "event_date",
+            "doc.offer_id",
+            "doc.reward_id",
+            "doc.reward_category",
+            "doc.cost_type",
+            "doc.currency_name",
+            amount(F.col("doc.cost_amount")).alias("cost_local"),
+            amount(F.col("doc.exchange_rate")).alias("event_rate"),
+        )
     )
 
 
@@ -46,29 +60,38 @@ def reason_group(reason: Column) -> Column:
 
 def resource_moves(events: DataFrame) -> DataFrame:
     """Resource events with item, amount and grouped reason."""
-    return events.where(F.col("event_type") == "resource").select(
-        "event_id",
-        "account_id",
-        "session_id",
-        "event_subtype",
-        F.to_date("event_date").alias("event_date"),
-        reason_group(key("reason")).alias("reason"),
-        key("item_id").alias("item_id"),
-        key("item_amount").try_cast("int").alias("item_amount"),
-        key("item_category").alias("item_category"),
+    doc = parsed("reason", "item_id", "item_amount", "item_category")
+    return (
+        events.where(F.col("event_type") == "resource")
+        .select("event_id", "account_id", "session_id", "event_subtype", F.to_date("event_date").alias("event_date"), doc.alias("doc"))
+        .select(
+            "event_id",
+            "account_id",
+            "session_id",
+            "event_subtype",
+            "event_date",
+            reason_group(F.col("doc.reason")).alias("reason"),
+            "doc.item_id",
+            F.col("doc.item_amount").try_cast("int").alias("item_amount"),
+            "doc.item_category",
+        )
     )
 
 
 def shop_sinks(events: DataFrame) -> DataFrame:
     """Currency spent in the in-game shop; the currency is the second part of the item id."""
-    return events.where(
-        (F.col("event_subtype") == "sink_item") & (key("item_category") == "currency")
-    ).select(
-        "event_id",
-        "account_id",
-        "session_id",
-        F.to_date("event_date").alias("event_date"),
-        key("reason").alias("offer_id"),
-        F.split_part(key("item_id"), F.lit("_"), F.lit(2)).alias("currency_type"),
-        amount(key("item_amount")).alias("item_amount"),
+    doc = parsed("reason", "item_id", "item_amount", "item_category")
+    return (
+        events.where(F.col("event_subtype") == "sink_item")
+        .select("event_id", "account_id", "session_id", F.to_date("event_date").alias("event_date"), doc.alias("doc"))
+        .where(F.col("doc.item_category") == "currency")
+        .select(
+            "event_id",
+            "account_id",
+            "session_id",
+            "event_date",
+            F.col("doc.reason").alias("offer_id"),
+            F.split_part("doc.item_id", F.lit("_"), F.lit(2)).alias("currency_type"),
+            amount(F.col("doc.item_amount")).alias("item_amount"),
+        )
     )

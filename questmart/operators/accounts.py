@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from questmart.functions.money import amount, usd
-from questmart.functions.payload import key, reason_group
+from questmart.functions.payload import parsed, reason_group
 
 
 def session_bounds(sessions: DataFrame) -> dict[str, Column]:
@@ -58,24 +58,27 @@ def _facts(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
     resource = F.col("event_type") == "resource"
     passed = F.col("event_subtype") == "level_success"
     source = F.col("event_subtype").like("source%")
-    item = key("item_id")
-    flow = F.concat_ws(
-        "_",
+    wanted = events.where(business | passed | (resource & (source | F.col("event_subtype").like("sink%"))))
+    doc = parsed("offer_id", "currency_name", "cost_amount", "item_id", "item_amount", "reason", "level_id")
+    item = F.col("doc.item_id")
+    flow = F.concat(
         F.when(item.like("%gold"), "gold").when(item.like("%diamond"), "diamond").otherwise("other"),
-        F.when(source, "source").otherwise("sink"),
+        F.when(source, "_source").otherwise("_sink"),
     )
-    parsed = (
-        events.where(business | passed | (resource & (source | F.col("event_subtype").like("sink%"))))
+    facts = (
+        wanted.select(
+            "account_id", "session_id", "event_type", "event_subtype", F.to_date("event_date").alias("day"), doc.alias("doc")
+        )
         .select(
             "account_id",
-            F.to_date("event_date").alias("day"),
+            "day",
             F.when(business, "offer").when(resource, flow).otherwise("level").alias("kind"),
-            F.when(business, key("offer_id")).when(resource, reason_group(key("reason"))).alias("value"),
-            F.when(business, F.to_date("event_date").cast("string")).when(resource, F.col("session_id").cast("string")).alias("second"),
-            F.when(business, key("currency_name")).alias("currency"),
-            F.when(business, amount(key("cost_amount"))).alias("cost"),
-            F.when(resource, key("item_amount").try_cast("int")).alias("amount"),
-            F.when(passed, F.split_part(key("level_id"), F.lit("_"), F.lit(2)).try_cast("int")).alias("level"),
+            F.when(business, F.col("doc.offer_id")).when(resource, reason_group(F.col("doc.reason"))).alias("value"),
+            F.when(business, F.col("day").cast("string")).when(resource, F.col("session_id").cast("string")).alias("second"),
+            F.when(business, F.col("doc.currency_name")).alias("currency"),
+            F.when(business, amount(F.col("doc.cost_amount"))).alias("cost"),
+            F.when(resource, F.col("doc.item_amount").try_cast("int")).alias("amount"),
+            F.when(passed, F.split_part("doc.level_id", F.lit("_"), F.lit(2)).try_cast("int")).alias("level"),
         )
         .join(exchange_rate.select("currency", "usd_exchange_rate"), "currency", "left")
         .withColumn("usd", usd(F.col("cost"), F.col("usd_exchange_rate")))
@@ -85,7 +88,7 @@ def _facts(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
         F.struct(F.concat("kind", F.lit("_session")).alias("kind"), F.col("second").alias("value")),
     )
     main = F.struct("kind", "value")
-    return parsed.select(
+    return facts.select(
         "account_id", "day", "usd", "amount", "level", F.explode(F.array_compact(F.array(main, extra))).alias("fact")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.functions.payload import key
+from questmart.functions.payload import parsed
 from questmart.operators.marketing import billable
 
 # Share of installs that become players, per advertiser.
@@ -106,12 +106,12 @@ def campaign_costs(campaigns: DataFrame, ads: DataFrame) -> DataFrame:
 
 def referral_links(accounts: DataFrame) -> DataFrame:
     """Accounts with the latest account they referred, if any."""
-    referred = accounts.select(
-        key("referral_account_id", "acquisition_metadata").alias("account_id"),
-        F.col("signup_date").alias("referral_timestamp"),
-        F.col("account_id").alias("referred_account"),
-        key("referral_code", "acquisition_metadata").alias("referral_code"),
-    ).where(F.col("account_id").isNotNull())
+    doc = parsed("referral_account_id", "referral_code", payload="acquisition_metadata")
+    referred = (
+        accounts.select(F.col("signup_date").alias("referral_timestamp"), F.col("account_id").alias("referred_account"), doc.alias("doc"))
+        .select("referral_timestamp", "referred_account", F.col("doc.referral_account_id").alias("account_id"), "doc.referral_code")
+        .where(F.col("account_id").isNotNull())
+    )
     latest = referred.groupBy("account_id").agg(
         F.max(F.struct("referral_timestamp", "referred_account", "referral_code")).alias("latest")
     )

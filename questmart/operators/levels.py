@@ -11,10 +11,11 @@ from questmart.functions.payload import key
 
 def level_attempts(events: DataFrame) -> DataFrame:
     """Starts, fails and successes per account and level; tutorials and events without a level drop out."""
-    level = key("level_id")
     return (
-        events.where((F.col("event_type") == "progression") & ~level.like("%TUTORIAL%"))
-        .groupBy("account_id", level.alias("level_id"))
+        events.where(F.col("event_type") == "progression")
+        .select("account_id", "event_subtype", key("level_id").alias("level_id"))
+        .where(~F.col("level_id").like("%TUTORIAL%"))
+        .groupBy("account_id", "level_id")
         .agg(
             F.count_if(F.col("event_subtype") == "level_start").alias("starts"),
             F.count_if(F.col("event_subtype") == "level_fail").alias("fails"),

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questmart.functions.money import amount, quotient
-from questmart.functions.payload import is_ad_view, key
+from questmart.functions.money import quotient
+from questmart.functions.payload import is_ad_view, key, purchases
 
 
 def billable(model: Column, per_mille_units: Column, clicks: Column, installs: Column, actions: Column, other: Column | None = None) -> Column:
@@ -65,8 +65,8 @@ def signups_by_ad(accounts: DataFrame) -> DataFrame:
 def revenue_by_ad(accounts: DataFrame, events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
     """Unrounded USD revenue per ad name; spending is reduced per account before it meets the accounts."""
     spent = (
-        events.where(F.col("event_type") == "business")
-        .select("account_id", key("currency_name").alias("currency"), amount(key("cost_amount")).alias("cost"))
+        purchases(events)
+        .select("account_id", F.col("currency_name").alias("currency"), F.col("cost_local").alias("cost"))
         .join(exchange_rate.select("currency", "usd_exchange_rate"), "currency", "left")
         .groupBy("account_id")
         .agg(F.sum(quotient(F.col("cost"), F.coalesce("usd_exchange_rate", F.lit(1.0)))).alias("spent"))

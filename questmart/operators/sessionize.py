@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from questmart.functions.payload import key
+from questmart.functions.payload import parsed
 from questmart.operators.ordering import HOT_KEY_ROWS, assign_dense_ids, with_last_seen
 
 MAX_OFFERS = 1000
@@ -43,11 +43,13 @@ def session_rollup(events: DataFrame, accounts: DataFrame) -> DataFrame:
     login, logout = _subtype("user_login"), _subtype("user_logout")
 
     def at_login(name: str):
-        return F.max(F.when(login, key(name)))
+        return F.max(F.col(f"doc.{name}"))
 
+    doc = parsed("device_model", "os_version", "app_version", payload=F.when(login, F.col("event_metadata")))
     last = F.max(F.when(~logout, F.struct("event_date", "event_id", "event_type", "event_subtype")))
     rolled = (
         events.where(F.col("session_id").isNotNull())
+        .withColumn("doc", doc)
         .groupBy("session_id", "account_id")
         .agg(
             F.min(F.when(login, F.col("event_date"))).alias("session_start"),

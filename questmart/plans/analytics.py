@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from questmart.functions.money import ratio
-from questmart.functions.payload import key
+from questmart.functions.payload import parsed
 from questmart.operators.experiment import account_outcomes, event_rate_purchases, experiment_sessions, running_revenue
 from questmart.operators.ordering import HOT_KEY_ROWS, with_next
 from questmart.params import Params
@@ -70,37 +70,39 @@ def ab_test_eda(t: Bronze, accounts_extended: DataFrame, params: Params) -> Data
 def equipment_contribution_eda(t: Bronze, params: Params, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Level starts with their equipment and the outcome found in the session's next event.
 
-    Only starts keep their own payload and only successes and fails pass theirs on, so other payloads are dropped
-    before the shuffle. Events of equal time follow event_id, then subtype and payload.
+    Only starts carry their payload through the shuffle; of the others the two score fields are enough. Events of
+    equal time follow event_id, then subtype and a hash of the payload.
     """
-    outcome = c("event_subtype").isin("level_success", "level_fail")
+    own = ["level_id", *[f"equipped_{slot}" for slot in ("hero", "skin", "weapon", "armor", "held_item")]]
+    progress = F.when(c("event_type") == "progression", c("event_metadata"))
+    start = c("event_subtype") == "level_start"
     events = t.events.select(
         "account_id",
         "session_id",
         "event_date",
         "event_id",
         "event_subtype",
-        F.when(outcome | (c("event_subtype") == "level_start"), c("event_metadata")).alias("payload"),
-        key("total_score").alias("total_score"),
-        key("stars_gained").alias("stars_gained"),
-    )
+        F.when(start, c("event_metadata")).alias("payload"),
+        F.hash("event_metadata").alias("payload_order"),
+        parsed("total_score", "stars_gained", payload=progress).alias("score"),
+    ).select("*", "score.total_score", "score.stars_gained").drop("score")
     ordered = with_next(
         events,
         keys=["account_id", "session_id"],
-        order=["event_date", "event_id", "event_subtype", "payload"],
+        order=["event_date", "event_id", "event_subtype", "payload_order"],
         columns=["event_subtype", "total_score", "stars_gained"],
         limit=hot_key_rows,
     )
-    return ordered.where(c("event_subtype") == "level_start").select(
-        "event_date",
-        key("level_id", "payload").alias("level_id"),
-        *[
-            key(f"equipped_{slot}", "payload").alias(f"equipped_{slot}")
-            for slot in ("hero", "skin", "weapon", "armor", "held_item")
-        ],
-        F.when(c("next_event_subtype") == "level_success", True)
-        .when(c("next_event_subtype") == "level_fail", False)
-        .alias("is_attempt_successful"),
-        c("next_total_score").alias("total_score"),
-        F.coalesce("next_stars_gained", F.lit("0")).alias("stars_gained"),
+    return (
+        ordered.where(start)
+        .withColumn("doc", parsed(*own, payload="payload"))
+        .select(
+            "event_date",
+            *[f"doc.{name}" for name in own],
+            F.when(c("next_event_subtype") == "level_success", True)
+            .when(c("next_event_subtype") == "level_fail", False)
+            .alias("is_attempt_successful"),
+            c("next_total_score").alias("total_score"),
+            F.coalesce("next_stars_gained", F.lit("0")).alias("stars_gained"),
+        )
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from questmart.functions.money import percent, ratio
-from questmart.functions.payload import key, shop_sinks
+from questmart.functions.payload import parsed, shop_sinks
 from questmart.operators import marketing
 from questmart.operators.cohorts import DAY_OFFSETS, returns_by_cohort
 from questmart.operators.currency import purchases_in_usd
@@ -19,11 +19,13 @@ c = F.col
 
 
 def acquisition_daily(t: Bronze, params: Params) -> DataFrame:
-    return t.accounts.groupBy(
-        F.to_date("signup_date").alias("date"),
-        "referral_source",
-        *[key(name, "acquisition_metadata").alias(name) for name in ("campaign_name", "ad_name", "search_ad_keyword")],
-    ).agg(F.count("*").alias("daily_acquired_users"))
+    origin = ("campaign_name", "ad_name", "search_ad_keyword")
+    signed_up = t.accounts.select(
+        F.to_date("signup_date").alias("date"), "referral_source", parsed(*origin, payload="acquisition_metadata").alias("origin")
+    )
+    return signed_up.groupBy("date", "referral_source", *[f"origin.{name}" for name in origin]).agg(
+        F.count("*").alias("daily_acquired_users")
+    )
 
 
 def biz_offer_performance(t: Bronze, params: Params) -> DataFrame:

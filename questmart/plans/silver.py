@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from questmart.functions import segments
 from questmart.functions.money import percent, ratio
-from questmart.functions.payload import key, reason_group
+from questmart.functions.payload import parsed
 from questmart.operators.activity import daily_actions, daily_players
 from questmart.operators.accounts import event_profile, session_profile, session_bounds
 from questmart.operators.currency import purchases_in_usd
@@ -16,6 +16,9 @@ from questmart.params import Params
 from questmart.schemas import Bronze
 
 
+ORIGIN = ("search_query", "ad_name", "campaign_name", "search_ad_keyword", "referral_code", "referral_account_id")
+
+
 def session_metrics(t: Bronze, params: Params) -> DataFrame:
     """One row per day with sessions. Every joined side is already grouped by day."""
     c = F.col
@@ -118,10 +121,7 @@ def accounts_extended(t: Bronze, params: Params) -> DataFrame:
         "signup_date",
         "referral_source",
         "creation_method",
-        *[
-            key(name, "acquisition_metadata").alias(name)
-            for name in ("search_query", "ad_name", "campaign_name", "search_ad_keyword", "referral_code", "referral_account_id")
-        ],
+        parsed(*ORIGIN, payload="acquisition_metadata").alias("origin"),
     )
     joined = (
         session_profile(t.sessions)
@@ -157,10 +157,7 @@ def accounts_extended(t: Bronze, params: Params) -> DataFrame:
         "signup_date",
         "referral_source",
         "creation_method",
-        *[
-            F.coalesce(c(name), F.lit("N/A")).alias(name)
-            for name in ("search_query", "ad_name", "campaign_name", "search_ad_keyword", "referral_code", "referral_account_id")
-        ],
+        *[F.coalesce(c(f"origin.{name}"), F.lit("N/A")).alias(name) for name in ORIGIN],
         ad_rev.alias("ad_rev"),
         "first_purchase_date",
         "last_purchase_date",

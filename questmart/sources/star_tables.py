@@ -270,11 +270,23 @@ class StarBronze:
                 path = new_stage_path(self._spark, role)
                 text = role_sql(SparkDialect)[role]
                 for table in STAR_TABLES:
-                    text = text.replace(f"FROM {table}", f"FROM parquet.`{self._sf_dir}/{table}.parquet`")
+                    if f"FROM {table}" in text:
+                        text = text.replace(f"FROM {table}", f"FROM {self._view(table)}")
                 self._spark.sql(text).write.partitionBy(*PARTITIONED_BY.get(role, [])).parquet(path)
                 _stored[key] = path
         return _stored[key]
 
 
+    def _view(self, table: str) -> str:
+        """The given table as a view; one that comes in fewer pieces than there are cores is spread over them."""
+        rows = read_star(self._spark, self._sf_dir, table)
+        cores = self._spark.sparkContext.defaultParallelism
+        if rows.rdd.getNumPartitions() < cores and table in ("lineitem", "orders", "events"):
+            rows = rows.repartition(cores)
+        name = f"star_{table}"
+        rows.createOrReplaceTempView(name)
+        return name
+
+
 def bronze_from_star(spark: SparkSession, sf_dir: str) -> StarBronze:
     return StarBronze(spark, sf_dir)
