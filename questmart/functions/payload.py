@@ -50,10 +50,10 @@ def purchases(events: DataFrame) -> DataFrame:
 
 
 def reason_group(reason: Column) -> Column:
-    """Level and tutorial ids fold into one reason each. The one-character wildcard of ``_`` is kept."""
+    """Level and tutorial ids fold into one reason each: the word and at least one more character."""
     return (
-        F.when(reason.like("LEVEL_%"), "level_progression")
-        .when(reason.like("TUTORIAL_%"), "tutorial_progression")
+        F.when(reason.startswith("LEVEL") & (F.length(reason) > 5), "level_progression")
+        .when(reason.startswith("TUTORIAL") & (F.length(reason) > 8), "tutorial_progression")
         .otherwise(reason)
     )
 

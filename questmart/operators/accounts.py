@@ -88,8 +88,9 @@ def _facts(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
         F.struct(F.concat("kind", F.lit("_session")).alias("kind"), F.col("second").alias("value")),
     )
     main = F.struct("kind", "value")
+    facts_of_row = F.when(extra.isNotNull(), F.array(main, extra)).otherwise(F.array(main))
     return facts.select(
-        "account_id", "day", "usd", "amount", "level", F.explode(F.array_compact(F.array(main, extra))).alias("fact")
+        "account_id", "day", "usd", "amount", "level", F.explode(facts_of_row).alias("fact")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from questmart.functions.payload import parsed
 from questmart.operators.marketing import billable
+from questmart.sources.literals import literal_table
 
 # Share of installs that become players, per advertiser.
 PLAY_RATES = {
@@ -69,7 +70,7 @@ def campaign_ads(campaigns: DataFrame) -> DataFrame:
 def expected_players(campaigns: DataFrame, ads: DataFrame, play_rates: dict[str, float]) -> DataFrame:
     """Installs of each campaign ad times the play rate of the campaign's advertiser, rounded half to even."""
     spark = campaigns.sparkSession
-    rates = spark.createDataFrame(list(play_rates.items()), "acquisition_source STRING, play_rate DOUBLE")
+    rates = literal_table(spark, list(play_rates.items()), {"acquisition_source": "STRING", "play_rate": "DOUBLE"})
     return (
         campaign_ads(campaigns)
         .join(ads.select("ad_id", "ad_name", "launch_date", "install_count"), "ad_id")
@@ -130,7 +131,7 @@ def country_currency_table(spark: SparkSession) -> DataFrame:
         country: (currency, multiplier) for _, currency, multiplier, names in REGION_CURRENCIES for country in names.split(", ")
     }
     rows = [(country, *entry) for country, entry in {**regional, **own}.items()]
-    return spark.createDataFrame(rows, "country STRING, currency_name STRING, market_multiplier DOUBLE")
+    return literal_table(spark, rows, {"country": "STRING", "currency_name": "STRING", "market_multiplier": "DOUBLE"})
 
 
 def with_currency(df: DataFrame) -> DataFrame:

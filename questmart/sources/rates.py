@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from questmart.schemas import SCHEMAS
+from questmart.sources.literals import literal_table
 
 # Currency, units per USD.
 USD_RATES = [
@@ -29,6 +29,6 @@ USD_RATES = [
 
 
 def exchange_rate(spark: SparkSession) -> DataFrame:
-    """Seventeen rows held as a local relation, so the planner knows its size and broadcasts it by itself."""
     rows = [(currency, rate, None) for currency, rate in USD_RATES]
-    return spark.createDataFrame(rows, SCHEMAS["exchange_rate"])
+    columns = {"currency": "STRING", "usd_exchange_rate": "DOUBLE", "last_updated": "TIMESTAMP"}
+    return literal_table(spark, rows, columns)

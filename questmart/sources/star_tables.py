@@ -105,8 +105,7 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
     currency = _pick("CAST(l_suppkey % 7 AS INT)", ["USD", "EUR", "TRY", "GBP", "BRL", "ZZZ", "JPY"])
     event_rate = _pick("CAST(l_suppkey % 7 AS INT)", ["1.0", "0.93", "32.0", "0.78", "0", "1.5", "151.0"])
     reason = (
-        f"(CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN {level} WHEN 1 THEN 'shop_chest' WHEN 2 THEN 'daily_reward' "
-        f"WHEN 3 THEN 'upgrade' ELSE {level} END)"
+        "(CASE CAST(l_partkey % 5 AS INT) WHEN 1 THEN 'shop_chest' WHEN 2 THEN 'daily_reward' WHEN 3 THEN 'upgrade' ELSE level_id END)"
     )
     item = _pick("CAST(l_suppkey % 5 AS INT)", ["currency_gold", "currency_gold", "currency_diamond", "chest_rare", "currency_gold"])
     item_category = "(CASE WHEN l_suppkey % 5 = 3 THEN 'chest' ELSE 'currency' END)"
@@ -117,16 +116,17 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
         "WHEN 6 THEN (CASE l_returnflag WHEN 'A' THEN 'ad_shown' WHEN 'N' THEN 'reward_ad_shown' ELSE 'ad_skipped' END) "
         "ELSE 'app_crash' END)"
     )
+    outcome = (
+        f"(CASE WHEN l_linenumber = 2 THEN concat(CASE WHEN l_returnflag = 'A' THEN concat(',\"stars_gained\":', {stars}) ELSE '' END, "
+        f"',\"total_score\":', {score}) ELSE '' END)"
+    )
     payload = (
         "(CASE "
-        f"WHEN l_linenumber = 1 THEN concat('{{\"level_id\":\"', {level}, '\",', {equipment}, '}}') "
-        f"WHEN l_linenumber = 2 THEN concat('{{\"level_id\":\"', {level}, '\",', {equipment}, "
-        f"CASE WHEN l_returnflag = 'A' THEN concat(',\"stars_gained\":', {stars}) ELSE '' END, "
-        f"',\"total_score\":', {score}, '}}') "
+        f"WHEN l_linenumber <= 2 THEN concat('{{\"level_id\":\"', level_id, '\",', equipment, {outcome}, '}}') "
         f"WHEN l_linenumber = 3 THEN concat('{{\"offer_id\":\"', {offer}, '\",', {category}, "
         f"'\"reward_id\":[\"r1\"],\"cost_type\":\"money\",\"cost_amount\":', {amount}, "
         f"',\"currency_name\":\"', {currency}, '\",\"exchange_rate\":', {event_rate}, '}}') "
-        f"WHEN l_linenumber IN (4, 5) THEN concat('{{\"item_category\":\"', {item_category}, '\",\"item_id\":\"', {item}, "
+        f"WHEN l_linenumber <= 5 THEN concat('{{\"item_category\":\"', {item_category}, '\",\"item_id\":\"', {item}, "
         f"'\",\"item_amount\":', {txt('CAST(floor(l_quantity) AS BIGINT) * 5')}, ',\"reason\":\"', {reason}, '\"}}') "
         f"WHEN l_linenumber = 6 THEN concat('{{\"ad_id\":\"', {txt('l_partkey')}, '\"}}') "
         "ELSE '{\"error_id\":\"e1\"}' END)"
@@ -180,7 +180,7 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
                    {subtype} AS event_subtype, {event_time} AS event_date, {order_account} AS account_id,
                    (CASE WHEN l_linestatus = 'O' AND l_suppkey % 13 = 0 THEN NULL ELSE l_orderkey END) AS session_id,
                    {payload} AS event_metadata
-            FROM lineitem""",
+            FROM (SELECT *, {level} AS level_id, CASE WHEN l_linenumber <= 2 THEN {equipment} END AS equipment FROM lineitem) rows_""",
         "hosted_ads": f"""
             SELECT {txt('p_partkey')} AS ad_id, p_brand AS ad_network, p_name AS advertised_product,
                    {_pick(ad_model, ["CPM", "CPC", "CPI", "CPA", "FLAT"])} AS pricing_model,
