@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 PAID_SOCIAL = ["ad_fb", "ad_gdn", "ad_ig", "ad_in_app", "ad_tk", "ad_x", "ad_yt"]
 
 
-def engagement(sessions: Column, mean_duration: Column, bounds: dict[str, Column]) -> Column:
+def engagement(sessions: Column, mean_duration: Column, bounds: Column) -> Column:
     """Latest-week activity against lifetime percentiles; the first matching label wins."""
 
     def middle(value: Column, low: Column, high: Column) -> Column:

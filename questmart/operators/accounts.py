@@ -7,23 +7,24 @@ from pyspark.sql import functions as F
 
 from questmart.functions.money import amount, usd
 from questmart.functions.payload import parsed, reason_group
+from questmart.operators.histograms import discrete_quantiles
 
 
-def session_bounds(sessions: DataFrame) -> dict[str, Column]:
-    """Lifetime percentiles over accounts as scalar-subquery columns: one row, computed once, no join.
+def session_bounds(sessions: DataFrame) -> Column:
+    """Lifetime percentiles over accounts as one struct-valued scalar subquery: one row, no join.
 
-    p * n in binary may land a hair above an exact rank, so the percentages stay a hair below.
+    Add it as a column before its fields are used, so that the plan holds the subquery once.
+
+    Both measures go through one histogram of (measure, value) counts, so no task sees one row per account.
     """
     per_account = sessions.groupBy("account_id").agg(
-        F.count("*").alias("sessions"), F.round(F.avg("duration_seconds")).alias("duration")
+        F.count("*").cast("double").alias("sessions"), F.round(F.avg("duration_seconds")).alias("duration")
     )
-    picks = [
-        F.expr(f"percentile_disc({p} - 1e-13D) WITHIN GROUP (ORDER BY {column})").alias(f"p{name}_{column}")
-        for column in ("sessions", "duration")
-        for name, p in (("33", 0.33), ("66", 0.66))
-    ]
-    bounds = per_account.agg(F.struct(*picks).alias("bounds")).select("bounds").scalar()
-    return {f"p{name}_{column}": bounds[f"p{name}_{column}"] for column in ("sessions", "duration") for name in ("33", "66")}
+    measures = ["sessions", "duration"]
+    long = per_account.unpivot([], measures, "measure", "value")
+    cuts = discrete_quantiles(long, ["measure"], F.col("value"), {"p33": 0.33, "p66": 0.66})
+    names = {f"{cut}_{m}": F.max(F.when(F.col("measure") == m, F.col(cut))) for m in measures for cut in ("p33", "p66")}
+    return cuts.agg(F.struct(*[column.alias(name) for name, column in names.items()]).alias("bounds")).scalar()
 
 
 def session_profile(sessions: DataFrame) -> DataFrame:

@@ -25,8 +25,9 @@ def returns_by_cohort(cohorts: DataFrame, keys: list[str], signup_day: str, sess
     ).withColumn("day_offset", offset)
 
     def reached(n: int) -> Column:
-        return F.when(F.date_add(signup_day, n) <= last_day, F.col(f"at_{n}"))
+        return F.when(F.date_add(signup_day, n) <= F.col("last_day"), F.col(f"at_{n}"))
 
     counted = met.groupBy(*keys).agg(*[F.count_if(F.col("day_offset") == n).alias(f"at_{n}") for n in DAY_OFFSETS])
+    counted = counted.withColumn("last_day", last_day)
     names = {n: f"day_{n}_return" if n else "day_0" for n in DAY_OFFSETS}
     return counted.select(*keys, *[reached(n).alias(names[n]) for n in DAY_OFFSETS])

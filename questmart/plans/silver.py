@@ -111,7 +111,6 @@ def accounts_extended(t: Bronze, params: Params) -> DataFrame:
     """
     c = F.col
     end_date = F.lit(params.end_date)
-    bounds = session_bounds(t.sessions)
     ad_revenue = t.hosted_ad_interactions.groupBy("account_id").agg(F.sum(c("revenue").cast("decimal(18,6)")).alias("ad_revenue"))
     people = t.accounts.select(
         "account_id",
@@ -128,6 +127,7 @@ def accounts_extended(t: Bronze, params: Params) -> DataFrame:
         .join(people, "account_id", "left")
         .join(ad_revenue, "account_id", "left")
         .join(event_profile(t.events, t.exchange_rate), "account_id", "left")
+        .withColumn("bounds", session_bounds(t.sessions))
     )
 
     def seen(days: str, low: Column, high: Column, closed_low: bool = False) -> Column:
@@ -170,7 +170,7 @@ def accounts_extended(t: Bronze, params: Params) -> DataFrame:
         "last_completed_level",
         segments.acquisition(c("referral_source")).alias("acquisition_segment"),
         segments.monetization(c("total_purchase")).alias("monetization_segment"),
-        segments.engagement(week["sessions"], week["mean_duration"], bounds).alias("engagement_segment"),
+        segments.engagement(week["sessions"], week["mean_duration"], c("bounds")).alias("engagement_segment"),
         segments.churn(week["week_start"], params.churn_cutoff).alias("churn_segment"),
         F.when(c("has_level"), segments.completion(c("last_completed_level"))).alias("completion_segment"),
         segments.subscription(c("last_sub_date"), params.end_date).alias("subscription_status"),

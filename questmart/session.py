@@ -17,6 +17,26 @@ SETTINGS = {
 }
 
 
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def sized_settings(shuffled_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a run whose largest shuffle moves ``shuffled_bytes``.
+
+    Tasks start at about 256 MB, so that sorts and hash tables fit an executor core; adaptive execution then merges
+    small ones and splits skewed ones.
+    """
+    tasks = max(cores, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16MB",
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_TASK_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * SHUFFLE_TASK_BYTES),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def build_session(app_name: str = "questmart", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
