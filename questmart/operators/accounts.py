@@ -111,51 +111,77 @@ def fact_totals(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
     )
 
 
-def _of(kind: str, value: Column | str) -> Column:
-    return F.when(F.col("kind") == kind, F.col(value) if isinstance(value, str) else value)
+FLOWS = [f"{item}_{direction}" for item in ("gold", "diamond") for direction in ("source", "sink")]
 
 
-def _top(kind: str) -> Column:
-    ranked = F.when((F.col("kind") == kind) & F.col("value").isNotNull(), F.struct((-F.col("n")).alias("order"), F.col("value")))
-    return F.min(ranked)["value"]
+def kind_totals(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
+    """One row per account and kind.
 
-
-def _distribution(kind: str) -> Column:
-    """JSON object reason -> positive total, largest first; reasons form a small fixed vocabulary."""
-    kept = (F.col("kind") == kind) & (F.col("amount") > 0) & F.col("value").isNotNull()
-    entries = F.array_sort(F.collect_list(F.when(kept, F.struct((-F.col("amount")).alias("order"), F.col("value")))))
-    pairs = F.transform(entries, lambda e: F.struct(e["value"].alias("key"), (-e["order"]).alias("value")))
-    return F.when(F.size(entries) > 0, F.to_json(F.map_from_entries(pairs)))
+    ``entries`` keeps purchase days, and reasons with a positive total, largest first; both come from small fixed
+    sets (calendar days, reasons). ``top`` is the most frequent value, the smallest one among equals.
+    """
+    kind, value, n = F.col("kind"), F.col("value"), F.col("n")
+    subscription = (kind == "offer") & value.like("%subscription%")
+    kept = (kind == "purchase_day") | (kind.isin(FLOWS) & (F.col("amount") > 0) & value.isNotNull())
+    return (
+        fact_totals(events, exchange_rate)
+        .groupBy("account_id", "kind")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count("*").alias("values"),
+            F.sum("usd").alias("usd"),
+            F.sum("amount").alias("amount"),
+            F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"),
+            F.max("level").alias("level"),
+            F.sum(F.when(subscription, n)).alias("subscriptions"),
+            F.max(F.when(subscription, F.col("last_day"))).alias("last_subscription"),
+            F.min(F.when(value.isNotNull(), F.struct((-n).alias("order"), value.alias("value")))).alias("top"),
+            F.array_sort(F.collect_list(F.when(kept, F.struct((-F.col("amount")).alias("order"), value.alias("value"))))).alias("entries"),
+        )
+    )
 
 
 def event_profile(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
-    """Purchases, currency flows and progress per account, from one read of the events."""
-    subscription = (F.col("kind") == "offer") & F.col("value").like("%subscription%")
-    is_offer = F.col("kind") == "offer"
-    aggs = [
-        F.min(_of("offer", "first_day")).alias("first_purchase_date"),
-        F.max(_of("offer", "last_day")).alias("last_purchase_date"),
-        F.sum(_of("offer", "n")).alias("number_of_purchases"),
-        F.when(F.max(is_offer), F.coalesce(_top("offer"), F.lit("none"))).alias("most_purchased_item"),
-        F.sum(_of("offer", "usd")).alias("total_purchase"),
-        F.when(F.max(is_offer), F.coalesce(F.sum(F.when(subscription, F.col("n"))), F.lit(0))).alias("subscription_purchases"),
-        F.max(F.when(subscription, F.col("last_day"))).alias("last_sub_date"),
-        F.collect_list(_of("purchase_day", F.col("value").cast("date"))).alias("purchase_days"),
-        F.max(_of("level", "level")).alias("last_completed_level"),
-        F.max(F.col("kind") == "level").alias("has_level"),
+    """Purchases, currency flows and progress per account, from one read of the events.
+
+    The few rows of an account, one per kind, become a map, from which the figures are picked.
+    """
+    totals = kind_totals(events, exchange_rate)
+    rest = F.struct(*[c for c in totals.columns if c not in ("account_id", "kind")])
+    by_kind = totals.groupBy("account_id").agg(F.map_from_entries(F.collect_list(F.struct("kind", rest))).alias("by_kind"))
+
+    kinds = ["offer", "purchase_day", "level", *FLOWS, *[f"{flow}_session" for flow in FLOWS], "other_source", "other_sink"]
+    picked = by_kind.select("account_id", *[F.try_element_at("by_kind", F.lit(kind)).alias(kind) for kind in kinds])
+
+    def distribution(flow: str) -> Column:
+        pairs = F.transform(f"{flow}.entries", lambda e: F.struct(e["value"].alias("key"), (-e["order"]).alias("value")))
+        return F.when(F.size(f"{flow}.entries") > 0, F.to_json(F.map_from_entries(pairs)))
+
+    zero = F.lit(0)
+    offer = F.col("offer")
+    figures = [
+        offer["first_day"].alias("first_purchase_date"),
+        offer["last_day"].alias("last_purchase_date"),
+        offer["n"].alias("number_of_purchases"),
+        F.when(offer.isNotNull(), F.coalesce(F.col("offer.top.value"), F.lit("none"))).alias("most_purchased_item"),
+        offer["usd"].alias("total_purchase"),
+        F.when(offer.isNotNull(), F.coalesce(offer["subscriptions"], zero)).alias("subscription_purchases"),
+        offer["last_subscription"].alias("last_sub_date"),
+        F.transform("purchase_day.entries", lambda e: e["value"].cast("date")).alias("purchase_days"),
+        F.col("level.level").alias("last_completed_level"),
+        F.col("level").isNotNull().alias("has_level"),
     ]
     for direction, moved, did, short in (("source", "earned", "earn", "source"), ("sink", "spent", "spend", "spend")):
-        present = F.max(F.col("kind").isin([f"{item}_{direction}" for item in ("gold", "diamond", "other")]))
+        present = F.coalesce(*[F.col(f"{item}_{direction}.n") for item in ("gold", "diamond", "other")]).isNotNull()
         for item in ("gold", "diamond"):
-            kind = f"{item}_{direction}"
-            events_of = F.coalesce(F.sum(_of(kind, "n")), F.lit(0))
-            sessions_of = F.count_if(F.col("kind") == f"{kind}_session")
-            total = F.sum(_of(kind, "amount"))
-            aggs += [
-                F.when(present, events_of).alias(f"{item}_{short}_event_count"),
-                F.when(present, sessions_of).alias(f"{item}_{short}_session_count"),
-                (total if direction == "source" else F.when(present, F.coalesce(total, F.lit(0)))).alias(f"total_{item}_{moved}"),
-                _top(kind).alias(f"top_{item}_{did}_reason"),
-                _distribution(kind).alias(f"{item}_{direction}_distribution"),
+            flow = f"{item}_{direction}"
+            total = F.col(f"{flow}.amount")
+            figures += [
+                F.when(present, F.coalesce(F.col(f"{flow}.n"), zero)).alias(f"{item}_{short}_event_count"),
+                F.when(present, F.coalesce(F.col(f"{flow}_session.values"), zero)).alias(f"{item}_{short}_session_count"),
+                (total if direction == "source" else F.when(present, F.coalesce(total, zero))).alias(f"total_{item}_{moved}"),
+                F.col(f"{flow}.top.value").alias(f"top_{item}_{did}_reason"),
+                distribution(flow).alias(f"{item}_{direction}_distribution"),
             ]
-    return fact_totals(events, exchange_rate).groupBy("account_id").agg(*aggs)
+    return picked.select("account_id", *figures)
