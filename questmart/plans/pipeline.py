@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from questmart.learning import features, study
 from questmart.params import Params
@@ -52,14 +51,16 @@ LAYERS = ["silver", "gold", "analytics"]
 
 
 def run_layer(spark: SparkSession, layer: str, params: Params = Params(), bronze: str = "bronze") -> dict[str, int]:
-    """Stores the marts of a layer and returns their row counts, observed during the write itself."""
+    """Stores the marts of a layer and returns their row counts, which a stored parquet table gives from its footers.
+
+    An Observation on the write would save even that read, but a session that has used one cannot fit MLlib forests
+    afterwards: their closures hold the session, which then no longer serialises.
+    """
     tables = Bronze.from_catalog(spark, bronze)
     counts = {}
     for mart in (m for m in MARTS if m.layer == layer):
-        seen = Observation(mart.name)
-        df = mart.build(tables, params, spark).observe(seen, F.count(F.lit(1)).alias("rows"))
-        save_table(df, layer, mart.name)
-        counts[mart.name] = seen.get["rows"]
+        save_table(mart.build(tables, params, spark), layer, mart.name)
+        counts[mart.name] = spark.table(f"{layer}.{mart.name}").count()
     return counts
 
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from questmart.learning import study
 from questmart.plans import pipeline
 from questmart.sources import files
 from questmart.sources.bronze import bootstrap_bronze, load_bronze
@@ -72,6 +73,10 @@ def test_layers_report_and_counts(spark, sf_dir, folder):
     report = pipeline.run_ab_report(spark, folder)
     assert report.count() == 6
     assert spark.read.option("header", True).csv(f"{folder}/ab_test_results").count() == 6
+    sizes = study.Sizes(tree_depth=2, forest_trees=2, forest_depth=2, boost_rounds=1, boost_depth=2)
+    runs = pipeline.run_studies(spark, folder, families=["Random Forest"], targets={"binary": study.TARGETS["binary"]}, sizes=sizes)
+    assert spark.read.option("header", True).csv(f"{folder}/summary/model_metrics").count() == len(runs) == 1
+    assert spark.read.option("header", True).csv(f"{folder}/individual/random_forest__binary_classification_summary").first().metric == "accuracy"
     assert "A/B Test Results" in spark.read.text(f"{folder}/ab_test_results_text").first().value
 
 
