@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 from questmart.functions.payload import parsed
 from questmart.operators.ordering import HOT_KEY_ROWS, assign_dense_ids, with_last_seen
 
-MAX_OFFERS = 1000
+# Offers whose last purchase is kept as a running maximum of its own.
+RUNNING_OFFERS = 200
 DAY_MICROS = 24 * 60 * 60 * 1_000_000
 
 
@@ -82,28 +83,29 @@ def first_events(events: DataFrame) -> DataFrame:
     return events.groupBy("account_id").agg(row.alias("first")).select("account_id", "first.*")
 
 
-def recent_offers(purchases: DataFrame) -> DataFrame:
+def recent_offers(purchases: DataFrame, running_offers: int = RUNNING_OFFERS) -> DataFrame:
     """Per purchase the offers its account bought in the 24 hours before it.
 
-    Every purchase is also context for the next calendar day, which splits an account into its days. Per offer the
-    last purchase time so far is a running maximum, so a day is read once whatever its length.
+    Every purchase is also context for the next calendar day, which splits an account into its days. Per offer of the
+    catalogue the last purchase time so far is a running maximum, so a day is read once whatever its length. A larger
+    catalogue than ``running_offers`` gathers the set over the time range instead, with the same result.
     """
-    offers = sorted(
-        row[0] for row in purchases.select("offer_id").where(F.col("offer_id").isNotNull()).distinct().limit(MAX_OFFERS + 1).collect()
-    )
-    if len(offers) > MAX_OFFERS:
-        raise ValueError(f"more than {MAX_OFFERS} offers: not an offer catalogue")
     day = F.unix_date(F.to_date("event_time"))
     copies = purchases.select(
         "*", F.unix_micros("event_time").alias("at"), F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
     ).withColumn("bucket", day + F.col("shift"))
-    earlier = Window.partitionBy("account_id", "bucket").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
+    own_day = Window.partitionBy("account_id", "bucket").orderBy("at")
+    catalogue = purchases.select("offer_id").where(F.col("offer_id").isNotNull()).distinct().limit(running_offers + 1).collect()
+    if len(catalogue) > running_offers:
+        recent = F.collect_set("offer_id").over(own_day.rangeBetween(-DAY_MICROS, -1))
+        seen = copies.withColumn("recent_offers", recent).where(F.col("shift") == 0)
+        return seen.select(*purchases.columns, F.array_sort("recent_offers").alias("recent_offers"))
+    earlier = own_day.rangeBetween(Window.unboundedPreceding, -1)
     last_bought = [
         F.struct(F.lit(offer).alias("offer"), F.max(F.when(F.col("offer_id") == offer, F.col("at"))).over(earlier).alias("last"))
-        for offer in offers
+        for offer in sorted(row[0] for row in catalogue)
     ]
-    seen = copies.withColumn("bought", F.array(*last_bought)).where(F.col("shift") == 0)
-    recent = F.transform(
-        F.filter("bought", lambda b: b["last"] >= F.col("at") - DAY_MICROS), lambda b: b["offer"]
-    )
-    return seen.select(*purchases.columns, F.array_sort(recent).alias("recent_offers"))
+    empty = F.array().cast("array<struct<offer:string,last:bigint>>")
+    seen = copies.withColumn("bought", F.array(*last_bought) if last_bought else empty).where(F.col("shift") == 0)
+    bought = F.filter("bought", lambda b: b["last"] >= F.col("at") - DAY_MICROS)
+    return seen.select(*purchases.columns, F.array_sort(F.transform(bought, lambda b: b["offer"])).alias("recent_offers"))

@@ -63,13 +63,14 @@ def test_first_event(spark):
     assert got == {"a": 0, "b": 2, "c": 10, "d": 12}
 
 
-def test_recent_offers_window(spark):
+@pytest.mark.parametrize("running", [1, 200])
+def test_recent_offers_window(spark, running):
     buys = [
         (1, "a", "2025-01-01 23:59:59.500000", "x"), (2, "a", "2025-01-02 23:59:59.500000", "y"), (3, "a", "2025-01-02 23:59:59.500001", "x"),
         (4, "a", "2025-01-04 00:00:00", "z"), (5, "b", "2025-01-02 12:00:00", "x"),
     ]
     df = spark.createDataFrame([(n, a, at(t), o) for n, a, t, o in buys], "n INT, account_id STRING, event_time TIMESTAMP, offer_id STRING")
-    got = {r.n: r.recent_offers for r in recent_offers(df).collect()}
+    got = {r.n: r.recent_offers for r in recent_offers(df, running).collect()}
     assert got == {1: [], 2: ["x"], 3: ["y"], 4: [], 5: []}
 
 
