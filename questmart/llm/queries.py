@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from questmart.llm.chat import format_conversations, summarise
 from questmart.llm.exact_dedup import exact_dedup
 from questmart.llm.line_dedup import dedup_lines
 from questmart.llm.mixing import mix_plan
 from questmart.llm.quality import quality_verdicts
+from questmart.llm.sentencepiece import digest_documents
 from questmart.llm.sharding import ShardTree, shard_rows
+from questmart.llm.simhash import near_duplicates
+from questmart.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +30,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def piece_model() -> str:
+    """Where the public tokenizer files are installed, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_documents(_table(spark, sf_dir, "documents"), piece_model())
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
@@ -69,6 +90,47 @@ FROM placed GROUP BY doc_id, source, size, source_size, target
 """
 
 
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages")).drop("payload")
+
+
+SQL["op5_warc_round_trip"] = r"""
+WITH digests AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+owned AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS owner FROM digests)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> owner THEN owner END AS refers_to
+FROM owned
+"""
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    added = spark.sql(f"SELECT -1L AS conv_id, turn, role, '{text}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return summarise(format_conversations(given.unionByName(added)))
+
+
+SQL["op6_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(9 + sum(17 + length(replace(replace(role, '&', '&amp;'), '<', '&lt;'))
+                    + length(replace(replace(text, '&', '&amp;'), '<', '&lt;'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
 @query
 def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = ShardTree.regular(regions=2, racks=5, shards=4)
