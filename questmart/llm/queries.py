@@ -15,6 +15,7 @@ from questmart.llm.quality import quality_verdicts
 from questmart.llm.sentencepiece import digest_documents
 from questmart.llm.sharding import ShardTree, shard_rows
 from questmart.llm.simhash import near_duplicates
+from questmart.llm.substrings import dedup_substrings
 from questmart.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +132,30 @@ FROM turns GROUP BY conv_id
 """
 
 
+@query
+def op7_dedup_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(_table(spark, sf_dir, "documents")).drop("removed")
+
+
+SQL["op7_dedup_substrings"] = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(words[p : p + 19], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM texts WHERE len(words) >= 20)
+),
+repeats AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, p + i AS p FROM repeats, range(0, 20) AS r(i)),
+numbered AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p FROM texts),
+kept AS (
+  SELECT n.doc_id, string_agg(word, ' ' ORDER BY n.p) AS kept, count(*) AS n_kept
+  FROM numbered n LEFT JOIN gone g ON n.doc_id = g.doc_id AND n.p = g.p WHERE g.p IS NULL GROUP BY n.doc_id
+)
+SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+
 @query
 def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = ShardTree.regular(regions=2, racks=5, shards=4)
