@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,6 +16,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = (1 << 63) - 1
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once per row, however often the body uses it.
+
+    A column of its own would not do: a filter above would be pushed below it with the value written out at every use.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def whole_text(text: str) -> Column:
     """The text; empty for null."""
     return F.coalesce(F.col(text), F.lit(""))
@@ -38,10 +48,25 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def distinct_documents(docs: DataFrame, id_column: str, text: str, key: str) -> DataFrame:
-    """One row per id and text, with the text's key. Repeats collapse before the shuffle."""
-    keyed = docs.withColumn(key, text_key(whole_text(text)))
-    return keyed.dropDuplicates([id_column, key])
+def packed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """(_row, _id, _key): whole rows beside their id and text key, so that no column of theirs can clash with others."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("_row"), F.col(id_column).cast("long").alias("_id"), text_key(whole_text(text)).alias("_key"))
+
+
+def keep_documents(docs: DataFrame, chosen: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each (doc_id, text_key) in ``chosen``, in the columns of ``docs``.
+
+    Rows alike in id and text collapse to one before the shuffle, so repeats cannot pile up. Columns of ``chosen`` beside
+    the two follow behind as ``_<name>``.
+    """
+    rest = [c for c in chosen.columns if c not in ("doc_id", "text_key")]
+    wanted = chosen.select(
+        F.col("doc_id").alias("_wanted_id"), F.col("text_key").alias("_wanted_key"), *[F.col(c).alias(f"_{c}") for c in rest]
+    )
+    rows = packed(docs, id_column, text).dropDuplicates(["_id", "_key"])
+    match = F.col("_id").eqNullSafe(F.col("_wanted_id")) & (F.col("_key") == F.col("_wanted_key"))
+    return rows.join(wanted, match).select("_row", *[f"_{c}" for c in rest])
 
 
 def running_before(df: DataFrame, groups: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:

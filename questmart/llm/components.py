@@ -9,37 +9,29 @@ from questmart.session import stage
 
 
 def smallest_reachable(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """(node, label): the smallest label in each node's component.
+    """(node, label, root): the smallest label in each node's component, and the node that has it.
 
-    ``links``: (a, b), any direction, repeats allowed. ``labels``: (node, label) with a row for every node of a link;
-    nodes without links keep their label. Labels travel over the links and then jump along themselves (a node takes the
-    label of the node that its label came from), so long chains need few rounds. Each round is stored, which ends its
-    lineage; nothing but one count per round comes to the driver.
+    ``links``: (a, b), any direction, repeats allowed. ``labels``: (node, label) with one row for every node; nodes without
+    links keep their label. Of equal labels the one of the smallest node wins, so ``root`` names a component. Labels travel
+    over the links and then jump along their roots, so long chains need few rounds. Each round is stored, which ends its
+    lineage; nothing but one yes or no per round comes to the driver.
     """
     both = stage(links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     linked = both.select(F.col("a").alias("node")).distinct()
-    # ``root`` is the node whose own label a node carries at the moment.
-    own = labels.join(linked, "node").select("node", "label", F.col("node").alias("root"))
-    state = stage(own, "labels")
+    state = stage(labels.join(linked, "node").select("node", F.struct("label", F.col("node").alias("root")).alias("best")), "labels")
     while True:
-        offers = both.join(state, F.col("a") == F.col("node")).select(F.col("b").alias("to"), "label", "root")
-        best = offers.groupBy("to").agg(F.min(F.struct("label", "root")).alias("offer"))
-        heard = state.join(best, F.col("node") == F.col("to"), "left").select(
-            "node",
-            F.col("label").alias("old"),
-            F.least(F.struct("label", "root"), F.coalesce("offer", F.struct("label", "root"))).alias("now"),
+        offers = both.join(state, F.col("a") == F.col("node")).groupBy("b").agg(F.min("best").alias("offer"))
+        heard = stage(
+            state.join(offers, F.col("node") == F.col("b"), "left").select(
+                "node", F.col("best").alias("old"), F.least("best", F.coalesce("offer", "best")).alias("now")
+            ),
+            "heard",
         )
-        heard = stage(heard, "heard")
         roots = heard.select(F.col("node").alias("root_node"), F.col("now").alias("jump"))
-        moved = heard.join(roots, F.col("now.root") == F.col("root_node")).select(
-            "node", "old", F.least("now", "jump").alias("now")
-        )
-        following = stage(
-            moved.select("node", F.col("now.label").alias("label"), F.col("now.root").alias("root"), (F.col("now.label") < F.col("old")).alias("changed")),
-            "labels",
-        )
-        state = following.drop("changed")
-        if following.where("changed").limit(1).count() == 0:
+        moved = heard.join(roots, F.col("now.root") == F.col("root_node")).select("node", "old", F.least("now", "jump").alias("best"))
+        moved = stage(moved.select("node", "best", (F.col("best") < F.col("old")).alias("changed")), "labels")
+        state = moved.drop("changed")
+        if moved.where("changed").limit(1).count() == 0:
             break
-    alone = labels.join(linked, "node", "left_anti").select("node", "label")
-    return state.select("node", "label").unionAll(alone)
+    alone = labels.join(linked, "node", "left_anti").select("node", "label", F.col("node").alias("root"))
+    return state.select("node", "best.label", "best.root").unionAll(alone)

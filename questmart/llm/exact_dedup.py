@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.llm.common import text_key, whole_text, without_blanks
+from questmart.llm.common import keep_documents, text_key, whole_text, without_blanks
 from questmart.session import new_stage_path, stage
 
 DEFAULT_BUCKETS = 32
@@ -82,3 +82,9 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """Dedup of one table: a new index that sees the table as its only batch."""
     index = DigestIndex(docs.sparkSession, new_stage_path(docs.sparkSession, "digest-index"), buckets)
     return index.add(docs, id_column, text)
+
+
+def keep_one_copy(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, unchanged."""
+    chosen = exact_dedup(docs, id_column, text).where("kept").select("doc_id", "text_key")
+    return keep_documents(docs, chosen, id_column, text).select("_row.*")

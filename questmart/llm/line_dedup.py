@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.llm.common import BLANKS, LAST_ID, ascii_lower, text_key, whole_text
+from questmart.llm.common import BLANKS, LAST_ID, ascii_lower, let, text_key, whole_text
 from questmart.session import stage
 
 MIN_KEY_CHARS = 10
@@ -75,7 +75,7 @@ class LineRuns:
             level += 1
 
 
-def split_lines(text):
+def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
@@ -133,16 +133,21 @@ def dedup_lines(
         text_key(raw).alias("text_key"),
         raw.alias("_text"),
     )
-    # Kept as a column of its own: it is used several times, so it is split once per row and not per line.
-    joined = whole.join(drops, ["owner", "text_key"], "left").withColumn("_lines", split_lines(F.col("_text")))
-    # Set difference on positions is hashed, so a text of very many lines stays linear.
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("dropped"))
-    kept_text = F.when(F.col("dropped").isNull(), F.col("_text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
-    )
+    joined = whole.join(drops, ["owner", "text_key"], "left")
+
+    def without(lines: Column) -> Column:
+        # Set difference on positions is hashed, so a text of very many lines stays linear.
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("dropped"))
+        kept_text = F.when(F.col("dropped").isNull(), F.col("_text")).otherwise(
+            F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+        )
+        return F.struct(F.size(lines).cast("long").alias("n_lines"), kept_text.alias("kept_text"))
+
     return joined.select(
+        "doc_id", "dropped", let(split_lines(F.col("_text")), without).alias("_lines")
+    ).select(
         "doc_id",
-        F.size("_lines").cast("long").alias("n_lines"),
+        "_lines.n_lines",
         F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        kept_text.alias("kept_text"),
+        "_lines.kept_text",
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questmart.llm.common import WORD, distinct_documents, running_before, text_key, whole_text
+from questmart.llm.common import WORD, keep_documents, running_before, text_key, whole_text
 from questmart.operators.ordering import assign_dense_ids, running_totals
 from questmart.session import stage
 
@@ -149,8 +149,6 @@ def _cut(queued: DataFrame, level: float | None, max_repeats: int):
 def mix(docs: DataFrame, **how) -> DataFrame:
     """The mixed documents, whole rows, each as often as it is taken. Rows alike in id and text share their copies."""
     id_column, text = how.get("id_column", "doc_id"), how.get("text", "text")
-    plan = mix_plan(docs, **how).groupBy("doc_id", "text_key").agg(F.sum("copies").alias("_copies"))
-    plan = plan.where(F.col("_copies") > 0).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_copies")
-    rows = distinct_documents(docs, id_column, text, "_text_key")
-    match = F.col(id_column).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
-    return rows.join(plan, match).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[f"`{c}`" for c in docs.columns])
+    chosen = mix_plan(docs, **how).groupBy("doc_id", "text_key").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = keep_documents(docs, chosen, id_column, text)
+    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select("_row.*")

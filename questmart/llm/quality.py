@@ -7,12 +7,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questmart.llm.common import BLANKS, WORD, whole_text, without_blanks
+from questmart.llm.common import BLANKS, WORD, let, whole_text, without_blanks
 
 BUCKETS = 65_536
-SMOOTHING = 1.0
+# Pseudo-counts of every bucket, in expected counts of the trusted corpus: rare n-grams then weigh next to nothing.
+SMOOTHING = 20.0
 # A document stays when its n-grams are, on average, at most this much (in nats) likelier under the raw corpus.
-THRESHOLD = -0.05
+THRESHOLD = -0.065
 # Log ratios are held as whole millionths, so sums do not depend on their order.
 SCALE = 1_000_000
 MIN_WORDS = 50
@@ -44,21 +45,31 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id",
         ids, F.col("_id") == F.col("_trusted_id"), "left"
     )
     counted = (
-        marked.select("_good", F.explode(hashed_ngrams(words_of(F.col("_text")))).alias("bucket"))
+        marked.select("_good", F.explode(let(words_of(F.col("_text")), hashed_ngrams)).alias("bucket"))
         .groupBy("bucket")
         .agg(F.count("*").alias("raw"), F.count("_good").alias("good"))
     )
     raw, good = [0] * BUCKETS, [0] * BUCKETS
     for row in counted.collect():
         raw[row["bucket"]], good[row["bucket"]] = row["raw"], row["good"]
-    raw_total, good_total = sum(raw) + SMOOTHING * BUCKETS, sum(good) + SMOOTHING * BUCKETS
-    return [
-        round(SCALE * (math.log((g + SMOOTHING) / good_total) - math.log((r + SMOOTHING) / raw_total))) for g, r in zip(good, raw)
-    ]
+    # Trusted counts against what the raw corpus lets expect in a corpus of the trusted one's size.
+    share = sum(good) / max(sum(raw), 1)
+    return [round(SCALE * math.log((g + SMOOTHING) / (r * share + SMOOTHING))) for g, r in zip(good, raw)]
 
 
-def _repeat_words(words: Column, windows: Column) -> Column:
-    """Words inside 3-word windows that the text holds twice or more; ``windows``: sorted (hash, position)."""
+def _sorted_windows(words: Column) -> Column:
+    """(hash, position) of all 3-word windows, sorted."""
+
+    def window(i: Column) -> Column:
+        return F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))
+
+    return F.when(
+        F.size(words) >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
+    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+
+
+def _repeat_words(windows: Column) -> Column:
+    """Words inside 3-word windows that the text holds twice or more."""
 
     def repeated(x: Column, i: Column) -> Column:
         same = (x["h"] == F.get(windows, i - 1)["h"]) | (x["h"] == F.get(windows, i + 1)["h"])
@@ -69,65 +80,53 @@ def _repeat_words(words: Column, windows: Column) -> Column:
     return F.size(F.array_distinct(covered)).cast("long")
 
 
-def measure(docs: DataFrame, table: list[int], text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``_quality``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed, kept.
+def _dup_lines(text: Column) -> Column:
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
+    return let(lines, lambda kept: (F.size(kept) - F.size(F.array_distinct(kept))).cast("long"))
+
+
+def quality_of(text: Column, table: list[int]) -> Column:
+    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept.
 
     Everything is computed inside the row, from the whole text: no shuffle, and every row, repeated or not, gets its own
     verdict. Null and empty texts have no words and fail the base rule. ``score`` is the mean log ratio of the n-grams
     (null without any).
     """
     ratios = F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
-    # Columns of their own, as each is used several times.
-    work = (
-        docs.withColumn("_q_text", whole_text(text))
-        .withColumn("_q_words", words_of(F.col("_q_text")))
-        .withColumn("_q_lines", F.filter(F.split("_q_text", "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != ""))
-        .withColumn(
-            "_q_windows",
-            F.when(
-                F.size("_q_words") >= 3,
-                F.sort_array(
-                    F.transform(
-                        F.sequence(F.lit(0), F.size("_q_words") - 3),
-                        lambda i: F.struct(
-                            F.xxhash64(F.get("_q_words", i), F.get("_q_words", i + 1), F.get("_q_words", i + 2)).alias("h"),
-                            i.alias("i"),
-                        ),
-                    )
-                ),
-            ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")),
-        )
-        .withColumn("_q_grams", hashed_ngrams(F.col("_q_words")))
-        .withColumn("_q_sum", F.aggregate("_q_grams", F.lit(0).cast("long"), lambda total, b: total + F.get(ratios, b)))
-    )
-    symbols_out = F.col("_q_text")
+    whole = F.coalesce(text, F.lit(""))
+    plain = whole
     for symbol in SYMBOLS:
-        symbols_out = F.replace(symbols_out, F.lit(symbol), F.lit(""))
-    work = work.withColumn(
-        "_q",
-        F.struct(
-            F.size("_q_words").cast("long").alias("n_words"),
-            F.char_length(without_blanks(F.col("_q_text"))).cast("long").alias("word_chars"),
-            (F.char_length("_q_text") - F.char_length(symbols_out)).cast("long").alias("n_symbols"),
-            (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long").alias("n_dup_lines"),
-            _repeat_words(F.col("_q_words"), F.col("_q_windows")).alias("n_repeat_words"),
-            F.try_divide(F.col("_q_sum") / SCALE, F.size("_q_grams")).alias("score"),
-        ),
-    )
-    failed = (F.col("_q.n_words") < MIN_WORDS) | (F.col("_q.n_repeat_words") * 100 > F.col("_q.n_words") * 50)
-    kept = ~failed & F.coalesce(F.col("_q.score") >= THRESHOLD, F.lit(False))
-    quality = F.struct("_q.*", failed.alias("base_failed"), kept.alias("kept"))
-    return work.select(*[F.col(f"`{c}`") for c in docs.columns], quality.alias("_quality"))
+        plain = F.replace(plain, F.lit(symbol), F.lit(""))
+
+    def mean(grams: Column) -> Column:
+        total = F.aggregate(grams, F.lit(0).cast("long"), lambda so_far, b: so_far + F.get(ratios, b))
+        return F.try_divide(total / SCALE, F.size(grams))
+
+    def measured(words: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.char_length(without_blanks(whole)).cast("long").alias("word_chars"),
+            (F.char_length(whole) - F.char_length(plain)).cast("long").alias("n_symbols"),
+            _dup_lines(whole).alias("n_dup_lines"),
+            let(_sorted_windows(words), _repeat_words).alias("n_repeat_words"),
+            let(hashed_ngrams(words), mean).alias("score"),
+        )
+
+    def judged(q: Column) -> Column:
+        failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] * 100 > q["n_words"] * 50)
+        kept = ~failed & F.coalesce(q["score"] >= THRESHOLD, F.lit(False))
+        fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score"]
+        return F.struct(*[q[f].alias(f) for f in fields], failed.alias("base_failed"), kept.alias("kept"))
+
+    return let(let(words_of(whole), measured), judged)
 
 
 def quality_verdicts(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and the measures of every row. An empty table gives an empty result; only id and text are read."""
-    plain = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    measured = measure(plain, ratio_table(docs, trusted, id_column, text))
-    return measured.select("doc_id", "_quality.*")
+    quality = quality_of(F.col(text), ratio_table(docs, trusted, id_column, text))
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.inline(F.array(quality)))
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, unchanged."""
-    measured = measure(docs, ratio_table(docs, trusted, id_column, text), text)
-    return measured.where("_quality.kept").drop("_quality")
+    return docs.where(quality_of(F.col(text), ratio_table(docs, trusted, id_column, text))["kept"])

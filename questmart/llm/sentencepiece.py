@@ -271,6 +271,12 @@ def digest_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id"
     return _map(docs, model_path, id_column, text, schema, _digest_batch)
 
 
+def tokenize_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids, n_tokens, ids_sha256, decoded_sha256, one row per input row."""
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
+    return _map(docs, model_path, id_column, text, schema, _tokenize_batch)
+
+
 def _map(docs, model_path, id_column, text, schema, work) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(model_path)
@@ -296,12 +302,20 @@ def _encode_batch(model: PieceModel, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _digest_batch(model: PieceModel, batch: pa.RecordBatch) -> pa.RecordBatch:
-    counts, encoded, decoded = [], [], []
+    return _tokenize_batch(model, batch, keep=False)
+
+
+def _tokenize_batch(model: PieceModel, batch: pa.RecordBatch, keep: bool = True) -> pa.RecordBatch:
+    counts, encoded, decoded, kept = [], [], [], []
     for ids in _encoded(model, batch):
         counts.append(len(ids))
         encoded.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
         decoded.append(hashlib.sha256(model.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
-    return pa.RecordBatch.from_arrays(
-        [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded), pa.array(decoded)],
-        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-    )
+        if keep:
+            kept.append(ids)
+    columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    if keep:
+        columns.append(pa.array(kept, pa.list_(pa.int32())))
+        names.append("ids")
+    return pa.RecordBatch.from_arrays(columns, names)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questmart.llm.common import text_key, whole_text
+from questmart.llm.common import keep_documents, text_key, whole_text
 from questmart.llm.components import smallest_reachable
 from questmart.llm.shipping import ship_package
 from questmart.session import stage
@@ -92,12 +92,12 @@ def close_pairs(prints: DataFrame, distance: int = MAX_DISTANCE, blocks: int = B
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", distance: int = MAX_DISTANCE, blocks: int = BLOCKS
 ) -> DataFrame:
-    """doc_id, text_key, fingerprint (16 hex digits), component_id: one row per input row.
+    """doc_id, text_key, fingerprint (16 hex digits), component_id, component: one row per input row.
 
     Fingerprints at most ``distance`` bits apart are linked; component_id is the smallest id reachable over links. Equal
     fingerprints are one node, so copies never make pairs. Texts without words have fingerprint zero and are linked like
     any other; null counts as empty. Null ids are never the smallest, except where a component has no other: component_id
-    is then null. Repeated rows get the same result; an empty table gives an empty result. Other columns are not read.
+    is then null, but ``component``, the fingerprint that stands for it, never is. Repeated rows get the same result; an empty table gives an empty result. Other columns are not read.
     """
     rows = stage(fingerprints(docs, id_column, text), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
@@ -105,7 +105,14 @@ def near_duplicates(
     labels = nodes.select(F.col("fp").alias("node"), F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id").alias("id")).alias("label"))
     parts = smallest_reachable(links, labels)
     # Stored, so that a fingerprint shared by very many rows meets a plain table and can be split.
-    parts = stage(parts.select(F.col("node").alias("_fp"), F.col("label.id").alias("component_id")), "components")
+    parts = stage(parts.select(F.col("node").alias("_fp"), F.col("label.id").alias("component_id"), F.col("root").alias("component")), "components")
     return rows.join(parts, F.col("fp") == F.col("_fp")).select(
-        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component"
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` per component, unchanged: the smallest id, null ids last, then the smallest text key."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first")
+    chosen = near_duplicates(docs, id_column, text).groupBy("component").agg(first).select("first.doc_id", "first.text_key")
+    return keep_documents(docs, chosen, id_column, text).select("_row.*")
