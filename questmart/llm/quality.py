@@ -41,8 +41,9 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id",
     ``trusted``: ids of the trusted documents. The table has BUCKETS numbers however large the corpus is.
     """
     ids = trusted.select(F.col(id_column).cast("long").alias("_trusted_id"), F.lit(1).alias("_good")).distinct()
+    # The same join at every size: the ids grow with the labels, so no plan may rest on broadcasting them.
     marked = docs.select(F.col(id_column).cast("long").alias("_id"), whole_text(text).alias("_text")).join(
-        ids, F.col("_id") == F.col("_trusted_id"), "left"
+        ids.hint("merge"), F.col("_id") == F.col("_trusted_id"), "left"
     )
     counted = (
         marked.select("_good", F.explode(let(words_of(F.col("_text")), hashed_ngrams)).alias("bucket"))
