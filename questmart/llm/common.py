@@ -66,7 +66,8 @@ def keep_documents(docs: DataFrame, chosen: DataFrame, id_column: str, text: str
     )
     rows = packed(docs, id_column, text).dropDuplicates(["_id", "_key"])
     match = F.col("_id").eqNullSafe(F.col("_wanted_id")) & (F.col("_key") == F.col("_wanted_key"))
-    return rows.join(wanted, match).select("_row", *[f"_{c}" for c in rest])
+    # Sort-merge at every size: what is wanted grows with the documents.
+    return rows.join(wanted.hint("merge"), match).select("_row", *[f"_{c}" for c in rest])
 
 
 def running_before(df: DataFrame, groups: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:

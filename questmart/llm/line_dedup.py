@@ -133,7 +133,7 @@ def dedup_lines(
         text_key(raw).alias("text_key"),
         raw.alias("_text"),
     )
-    joined = whole.join(drops, ["owner", "text_key"], "left")
+    joined = whole.join(drops.hint("merge"), ["owner", "text_key"], "left")
 
     def without(lines: Column) -> Column:
         # Set difference on positions is hashed, so a text of very many lines stays linear.

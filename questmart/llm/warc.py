@@ -108,7 +108,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
         F.max("page_id").alias("owner"), F.count("*").alias("copies")
     )
     owners = stage(owners.where("copies > 1").select(F.col("payload_digest").alias("_digest"), "owner"), "payload-owners")
-    joined = keyed.join(owners, F.col("payload_digest") == F.col("_digest"), "left")
+    joined = keyed.join(owners.hint("merge"), F.col("payload_digest") == F.col("_digest"), "left")
     revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     return joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).select(
         *keyed.columns, "record_type", F.when(revisit, F.col("owner")).alias("refers_to")
