@@ -1,6 +1,6 @@
 """Money and ratio expressions.
 
-Amounts are decimals. A quotient is taken in DOUBLE, fixed to DECIMAL(18,6) and only then rounded, so sums stay
+Amounts are decimals. A quotient is taken in DOUBLE, fixed to DECIMAL(38,6) and only then rounded, so sums stay
 exact whatever the order of the rows and half-way cases round alike on every engine.
 """
 
@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 
 def amount(text: Column) -> Column:
-    """Text to DECIMAL(18,3); NULL when it is no number."""
-    return text.try_cast("decimal(18,3)")
+    """Text to DECIMAL(38,3); NULL when it is no number."""
+    return text.try_cast("decimal(38,3)")
 
 
 def quotient(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator as DECIMAL(18,6); NULL for a zero or NULL divisor."""
-    return F.try_divide(numerator.cast("double"), denominator.cast("double")).try_cast("decimal(18,6)")
+    """numerator / denominator as DECIMAL(38,6); NULL for a zero or NULL divisor. A value too wide for it fails."""
+    return F.try_divide(numerator.cast("double"), denominator.cast("double")).cast("decimal(38,6)")
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
@@ -25,7 +25,7 @@ def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")).try_cast("decimal(18,8)") * 100, digits)
+    return F.round(F.try_divide(part.cast("double"), whole.cast("double")).cast("decimal(28,8)") * 100, digits)
 
 
 def usd(local_amount: Column, units_per_usd: Column) -> Column:

@@ -26,12 +26,12 @@ def rarity(item: Column) -> Column:
 def base_item(item: Column) -> Column:
     """Everything after rarity and slot; 'unknown' for a shorter id."""
     parts = _parts(item)
-    return F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 3, 100), "_")).otherwise("unknown")
+    return F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 3, F.size(parts)), "_")).otherwise("unknown")
 
 
 def base_skin(skin: Column) -> Column:
     parts = _parts(skin)
-    return F.when(F.size(parts) >= 3, F.array_join(F.slice(parts, 2, 100), "_")).otherwise("missing")
+    return F.when(F.size(parts) >= 3, F.array_join(F.slice(parts, 2, F.size(parts)), "_")).otherwise("missing")
 
 
 def model_table(equipment: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def model_table(equipment: DataFrame) -> DataFrame:
     return (
         equipment.withColumn("score", F.col("total_score").try_cast("double"))
         .withColumn("stars", F.col("stars_gained").try_cast("double"))
-        .where(F.col("score").isNotNull() & ~F.col("level_id").startswith("T"))
+        .where(F.col("score").isNotNull() & ~F.col("level_id").startswith("T") & level.isNotNull())
         .select(
             (F.lit(800) + (level - 1) * 50).alias("success_score_floor"),
             *[rarity(F.col(f"equipped_{slot}")).alias(f"rarity_{slot}") for slot in SLOTS],

@@ -112,8 +112,9 @@ def score(predicted: DataFrame, target: Target) -> float:
 
 
 def with_folds(table: DataFrame) -> DataFrame:
-    """A stored copy with a random fold per row, so that every fit sees the same folds."""
-    return stage(table.withColumn("fold", F.floor(F.rand(SEED) * FOLDS).cast("int")), "folds")
+    """A stored copy with a fold per row. Folds follow a hash of the row, so any partitioning gives the same ones."""
+    key = F.xxhash64(F.lit(SEED), *[F.col(c) for c in table.columns])
+    return stage(table.withColumn("fold", F.pmod(key, F.lit(FOLDS)).cast("int")), "folds")
 
 
 @dataclass(frozen=True)
@@ -185,17 +186,12 @@ def summary_row(run: Run) -> dict[str, object]:
 
 
 def summary_text(run: Run, k: int = 3) -> str:
-    """Short text: the score and the top features with their share among the top."""
+    """One line for the score and one for the k strongest features, each with its share of the k."""
     top = run.ranked[:k]
-    whole = sum(value for _, value in top)
-    metric = "accuracy" if run.target.is_classifier else "R²"
-    lines = [
-        f"{run.name} (target={run.target.reported})",
-        f"Average {metric} = {run.mean:.4f} (±{run.std:.4f}, {len(run.scores)}-fold CV)",
-        "Top contributors:",
-    ]
-    lines += [f"  • {name}: {value:.4f} ({value / whole * 100 if whole > 0 else 0.0:.1f}% of top-{k})" for name, value in top]
-    return "\n".join([*lines, ""])
+    whole = sum(value for _, value in top) or 1.0
+    metric = "accuracy" if run.target.is_classifier else "R2"
+    strongest = ", ".join(f"{name} {value:.4f} ({value / whole:.1%})" for name, value in top)
+    return f"{run.name} on {run.target.reported}: {metric} {run.mean:.4f}, deviation {run.std:.4f} over {len(run.scores)} folds\nstrongest: {strongest}\n"
 
 
 def _shuffled(columns: list[str]):

@@ -17,10 +17,10 @@ def level_outcomes(events: DataFrame) -> DataFrame:
 
 
 def churned_by_day(accounts: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Accounts by the number of days between signup and their last session."""
+    """Accounts by the number of days between signup and their last session; negative when that lies before signup."""
     last = sessions.groupBy("account_id").agg(F.max(F.to_date("session_start")).alias("last_day"))
     lived = accounts.join(last, "account_id").select(F.datediff("last_day", F.to_date("signup_date")).alias("day"))
-    return lived.where(F.col("day") >= 0).groupBy("day").agg(F.count("*").alias("churned"))
+    return lived.groupBy("day").agg(F.count("*").alias("churned"))
 
 
 def activity_by_group(accounts: DataFrame, events: DataFrame, group: str) -> DataFrame:

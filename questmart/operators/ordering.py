@@ -4,7 +4,7 @@ A global order is made by range partitions: rows are sorted, the sorted copy is
 partition numbers and positions stay fixed if an executor is lost, and what has to pass from one partition to the
 next (a count, a sum, the neighbouring row, the last value) is one small row per partition.
 
-Plain per-key windows are kept for ordinary keys; only keys above a row limit take the staged way.
+Keys take the same way: rows are ranged by key and order, so a key of any size spans as many partitions as it needs.
 """
 
 from __future__ import annotations
@@ -15,9 +15,6 @@ from pyspark.sql.window import Window
 
 from questmart.session import stage
 
-# Rows of one key that a single task may sort.
-HOT_KEY_ROWS = 5_000_000
-
 _POSITION_BITS = (1 << 33) - 1
 
 
@@ -77,30 +74,9 @@ def _same_key(left: list[Column], right: list[Column]) -> Column:
     return condition
 
 
-def split_hot_keys(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of keys holding more than ``limit`` rows (None when there are none).
-
-    At most rows/limit keys are hot, so their list is small and may be broadcast.
-    """
-    hot = df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*keys).collect()
-    if not hot:
-        return df, None
-    schema = df.select(*keys).schema
-    listed = F.broadcast(df.sparkSession.createDataFrame(hot, schema).toDF(*[f"_hot_{k}" for k in keys]))
-    match = _same_key([F.col(k) for k in keys], [F.col(f"_hot_{k}") for k in keys])
-    return df.join(listed, match, "left_anti"), df.join(listed, match, "left_semi")
-
-
-def with_next(
-    df: DataFrame, keys: list[str], order: list[str], columns: list[str], limit: int = HOT_KEY_ROWS
-) -> DataFrame:
+def with_next(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
     """Adds ``next_<column>``: the value in the key's following row, NULL after the last one."""
-    plain, hot = split_hot_keys(df, keys, limit)
-    own = Window.partitionBy(*keys).orderBy(*order)
-    out = plain.select(*df.columns, *[F.lead(c).over(own).alias(f"next_{c}") for c in columns])
-    if hot is None:
-        return out
-    staged = stage_sorted(hot, [*keys, *order], "next")
+    staged = stage_sorted(df.select(*df.columns), [*keys, *order], "next")
     heads = [row.asDict() for row in staged.where(F.col("_pos") == 0).select("_part", *keys, *columns).collect()]
     heads.sort(key=lambda row: row["_part"])
     types = {f.name: f.dataType.simpleString() for f in staged.schema}
@@ -110,6 +86,7 @@ def with_next(
     rows = [
         (before["_part"], *[head[k] for k in keys], *[head[c] for c in columns]) for before, head in zip(heads, heads[1:])
     ]
+    # One row per partition.
     following = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
     inside = Window.partitionBy("_part", *keys).orderBy("_pos")
     led = staged.withColumn("_inner", F.lead(F.lit(True)).over(inside))
@@ -122,28 +99,19 @@ def with_next(
     nexts = [
         F.when(F.col("_inner"), F.col(f"_next_{c}")).otherwise(F.col(f"_head_next_{c}")).alias(f"next_{c}") for c in columns
     ]
-    return out.unionByName(joined.select(*df.columns, *nexts))
+    return joined.select(*df.columns, *nexts)
 
 
-def with_last_seen(
-    df: DataFrame, keys: list[str], order: list[str], marker: str, limit: int = HOT_KEY_ROWS
-) -> DataFrame:
+def with_last_seen(df: DataFrame, keys: list[str], order: list[str], marker: str) -> DataFrame:
     """Adds ``<marker>_now`` (last non-NULL marker up to the row) and ``<marker>_before`` (up to the row above)."""
     now, before = f"{marker}_now", f"{marker}_before"
-    plain, hot = split_hot_keys(df, keys, limit)
-
-    def filled(partition: list[str], sort: list[str]) -> list[Column]:
-        window = Window.partitionBy(*partition).orderBy(*sort)
-        return [
-            F.last(marker, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)).alias(now),
-            F.last(marker, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)).alias(before),
-        ]
-
-    out = plain.select(*df.columns, *filled(keys, order))
-    if hot is None:
-        return out
-    staged = stage_sorted(hot, [*keys, *order], "last-seen")
-    inner = staged.select("*", *filled(["_part", *keys], ["_pos"]))
+    staged = stage_sorted(df, [*keys, *order], "last-seen")
+    window = Window.partitionBy("_part", *keys).orderBy("_pos")
+    inner = staged.select(
+        "*",
+        F.last(marker, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0)).alias(now),
+        F.last(marker, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1)).alias(before),
+    )
     tails = inner.groupBy("_part").agg(F.max_by(F.struct(*keys, now), "_pos").alias("tail")).collect()
     carried, rows = None, []
     for part in sorted(tails, key=lambda row: row["_part"]):
@@ -155,15 +123,14 @@ def with_last_seen(
         carried = (*key, value)
     types = {f.name: f.dataType.simpleString() for f in inner.schema}
     schema = ", ".join(["_part INT", *[f"_in_{k} {types[k]}" for k in keys], f"_in_value {types[now]}"])
+    # One row per partition.
     incoming = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
     match = (inner["_part"] == incoming["_part"]) & _same_key(
         [F.col(k) for k in keys], [F.col(f"_in_{k}") for k in keys]
     )
     joined = inner.join(incoming, match, "left")
-    return out.unionByName(
-        joined.select(
-            *df.columns,
-            F.coalesce(F.col(now), F.col("_in_value")).alias(now),
-            F.coalesce(F.col(before), F.col("_in_value")).alias(before),
-        )
+    return joined.select(
+        *df.columns,
+        F.coalesce(F.col(now), F.col("_in_value")).alias(now),
+        F.coalesce(F.col(before), F.col("_in_value")).alias(before),
     )

@@ -7,18 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from questmart.functions.payload import parsed
-from questmart.operators.ordering import HOT_KEY_ROWS, assign_dense_ids, with_last_seen
+from questmart.operators.ordering import assign_dense_ids, with_last_seen
 
-# Offers whose last purchase is kept as a running maximum of its own.
-RUNNING_OFFERS = 200
-DAY_MICROS = 24 * 60 * 60 * 1_000_000
+HOUR_MICROS = 60 * 60 * 1_000_000
+DAY_MICROS = 24 * HOUR_MICROS
 
 
 def _subtype(name: str):
     return (F.col("event_type") == "authentication") & (F.col("event_subtype") == name)
 
 
-def assign_sessions(events: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def assign_sessions(events: DataFrame) -> DataFrame:
     """Session id per event: a login opens one, a logout closes it, events outside have NULL.
 
     Ids number the logins 1..n in global time order. A login while a session is open replaces it; a logout takes the
@@ -28,9 +27,7 @@ def assign_sessions(events: DataFrame, hot_key_rows: int = HOT_KEY_ROWS) -> Data
     bare = events.drop("session_id")
     logins = assign_dense_ids(bare.where(login), ["event_date", "event_id", "account_id"], "marker", "logins")
     others = bare.where(~login | login.isNull()).withColumn("marker", F.when(logout, F.lit(0).cast("bigint")))
-    marked = with_last_seen(
-        logins.unionByName(others), ["account_id"], ["event_date", "event_id"], "marker", limit=hot_key_rows
-    )
+    marked = with_last_seen(logins.unionByName(others), ["account_id"], ["event_date", "event_id"], "marker")
     session = F.when(logout, F.col("marker_before")).otherwise(F.col("marker_now"))
     return marked.select(*bare.columns, F.nullif(session, F.lit(0)).alias("session_id"))
 
@@ -83,29 +80,44 @@ def first_events(events: DataFrame) -> DataFrame:
     return events.groupBy("account_id").agg(row.alias("first")).select("account_id", "first.*")
 
 
-def recent_offers(purchases: DataFrame, running_offers: int = RUNNING_OFFERS) -> DataFrame:
+def recent_offers(purchases: DataFrame) -> DataFrame:
     """Per purchase the offers its account bought in the 24 hours before it.
 
-    Every purchase is also context for the next calendar day, which splits an account into its days. Per offer of the
-    catalogue the last purchase time so far is a running maximum, so a day is read once whatever its length. A larger
-    catalogue than ``running_offers`` gathers the set over the time range instead, with the same result.
+    A purchase makes its offer recent for the 24 hours that follow. Purchases of one account, offer and hour make one
+    such interval; overlapping ones are joined, so at most one row per active hour is left of any number of purchases.
+    Purchases then meet the intervals on account and hour, and a join of two plain shuffles splits a busy account's hours.
     """
-    day = F.unix_date(F.to_date("event_time"))
-    copies = purchases.select(
-        "*", F.unix_micros("event_time").alias("at"), F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
-    ).withColumn("bucket", day + F.col("shift"))
-    own_day = Window.partitionBy("account_id", "bucket").orderBy("at")
-    catalogue = purchases.select("offer_id").where(F.col("offer_id").isNotNull()).distinct().limit(running_offers + 1).collect()
-    if len(catalogue) > running_offers:
-        recent = F.collect_set("offer_id").over(own_day.rangeBetween(-DAY_MICROS, -1))
-        seen = copies.withColumn("recent_offers", recent).where(F.col("shift") == 0)
-        return seen.select(*purchases.columns, F.array_sort("recent_offers").alias("recent_offers"))
-    earlier = own_day.rangeBetween(Window.unboundedPreceding, -1)
-    last_bought = [
-        F.struct(F.lit(offer).alias("offer"), F.max(F.when(F.col("offer_id") == offer, F.col("at"))).over(earlier).alias("last"))
-        for offer in sorted(row[0] for row in catalogue)
-    ]
-    empty = F.array().cast("array<struct<offer:string,last:bigint>>")
-    seen = copies.withColumn("bought", F.array(*last_bought) if last_bought else empty).where(F.col("shift") == 0)
-    bought = F.filter("bought", lambda b: b["last"] >= F.col("at") - DAY_MICROS)
-    return seen.select(*purchases.columns, F.array_sort(F.transform(bought, lambda b: b["offer"])).alias("recent_offers"))
+    at = F.unix_micros("event_time")
+
+    def hour(micros):
+        return F.floor(micros / F.lit(HOUR_MICROS))
+
+    by_hour = (
+        purchases.where(F.col("offer_id").isNotNull())
+        .groupBy("account_id", "offer_id", hour(at).alias("hour"))
+        .agg(F.min(at).alias("opens"), (F.max(at) + DAY_MICROS).alias("closes"))
+    )
+    own = Window.partitionBy("account_id", "offer_id").orderBy("hour")
+    reach = F.max("closes").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    chained = by_hour.withColumn("fresh", F.coalesce((F.col("opens") > reach).cast("int"), F.lit(1)))
+    islands = (
+        chained.withColumn("island", F.sum("fresh").over(own))
+        .groupBy("account_id", "offer_id", "island")
+        .agg(F.min("opens").alias("opens"), F.max("closes").alias("closes"))
+    )
+    active = islands.select(
+        F.col("account_id").alias("_account"),
+        F.col("offer_id").alias("_offer"),
+        "opens",
+        "closes",
+        F.explode(F.sequence(hour(F.col("opens")), hour(F.col("closes")))).alias("_hour"),
+    )
+    rows = purchases.withColumn("_row", F.monotonically_increasing_id()).withColumn("_at", at).withColumn("_in", hour(at))
+    match = (
+        F.col("account_id").eqNullSafe(F.col("_account"))
+        & (F.col("_in") == F.col("_hour"))
+        & (F.col("opens") < F.col("_at"))
+        & (F.col("_at") <= F.col("closes"))
+    )
+    met = rows.join(active, match, "left").groupBy("_row", *purchases.columns).agg(F.collect_set("_offer").alias("recent_offers"))
+    return met.select(*purchases.columns, F.array_sort("recent_offers").alias("recent_offers"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from questmart.functions.money import ratio
 from questmart.functions.payload import parsed
 from questmart.operators.experiment import account_outcomes, event_rate_purchases, experiment_sessions, running_revenue
-from questmart.operators.ordering import HOT_KEY_ROWS, with_next
+from questmart.operators.ordering import with_next
 from questmart.params import Params
 from questmart.schemas import Bronze
 
@@ -67,7 +67,7 @@ def ab_test_eda(t: Bronze, accounts_extended: DataFrame, params: Params) -> Data
     )
 
 
-def equipment_contribution_eda(t: Bronze, params: Params, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def equipment_contribution_eda(t: Bronze, params: Params) -> DataFrame:
     """Level starts with their equipment and the outcome found in the session's next event.
 
     Only starts carry their payload through the shuffle; of the others the two score fields are enough. Events of
@@ -91,7 +91,6 @@ def equipment_contribution_eda(t: Bronze, params: Params, hot_key_rows: int = HO
         keys=["account_id", "session_id"],
         order=["event_date", "event_id", "event_subtype", "payload_order"],
         columns=["event_subtype", "total_score", "stars_gained"],
-        limit=hot_key_rows,
     )
     return (
         ordered.where(start)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,22 +44,10 @@ def build_session(app_name: str = "questmart", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="questmart-stage-")
-
-
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir.
-
-    Only a local-mode session may fall back to a temporary folder; a cluster must name a shared one.
-    """
+    """The shared folder named by spark.checkpoint.dir; where it is unset, a folder of the warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_root()
+    return root.rstrip("/") if root else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/staging"
 
 
 def new_stage_path(spark: SparkSession, label: str) -> str:

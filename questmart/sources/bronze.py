@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from questmart.schemas import FILLED_ON_LOAD
-from questmart.sources.files import list_csv_tables, load_csv_tables, normalize, read_csv_table, save_table
+from questmart.sources.files import as_frame, list_csv_tables, load_csv_tables, normalize, read_csv_table, save_table
 from questmart.sources.health import FILLS
 from questmart.sources.rates import exchange_rate
 
@@ -41,12 +41,12 @@ def load_bronze(
 def bootstrap_bronze(
     spark: SparkSession,
     folder: str | None = None,
-    frames: Mapping[str, DataFrame] | None = None,
+    frames: Mapping[str, object] | None = None,
     external_folder: str | None = None,
     database: str = "bronze",
     mode: str = "replace",
 ) -> list[str]:
-    """Loads the main tables from a CSV folder or from frames, then the reference tables (always replaced).
+    """Loads the main tables from a CSV folder or from frames (Spark, pandas or rows), then the reference tables (always replaced).
 
     Without an external folder the built-in exchange rates are stored.
     """
@@ -54,6 +54,7 @@ def bootstrap_bronze(
         if folder is None:
             raise ValueError("give a folder of CSV files or frames")
         frames = {name: read_csv_table(spark, path, name) for name, path in list_csv_tables(spark, folder).items()}
+    frames = {name: as_frame(spark, name, rows) for name, rows in frames.items()}
     loaded = load_bronze(spark, frames, database, mode)
     if external_folder is None:
         save_table(exchange_rate(spark), database, "exchange_rate")

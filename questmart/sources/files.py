@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,16 +15,16 @@ MODES = {"replace": "overwrite", "append": "append"}
 
 def _mode(mode: str) -> str:
     if mode not in MODES:
-        raise ValueError("mode must be 'replace' or 'append'")
+        raise ValueError(f"unknown mode {mode!r}, known are {sorted(MODES)}")
     return MODES[mode]
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with header. Columns are matched by name and cast to the declared schema; an unreadable cell is NULL.
+    """CSV with header; cells may hold line breaks. Columns are matched by name and cast to the declared schema; an unreadable cell is NULL.
 
     Columns that the load step fills may be absent. A table without declared schema is read with inferred types.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
     if table not in SCHEMAS:
         return reader.option("inferSchema", True).csv(path)
     text = reader.csv(path)
@@ -56,16 +55,38 @@ def load_csv_tables(spark: SparkSession, database: str, paths: Mapping[str, str]
 
 
 def list_csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
-    """CSV files of a folder by table name; the folder may be on any file system Spark can list."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path")
-    return {re.sub(r"\.csv$", "", row.path.rsplit("/", 1)[-1]): row.path for row in listing.collect()}
+    """CSV tables of a folder by name: files ``<table>.csv``, or folders ``<table>`` of such files as Spark writes them.
+
+    The folder may be on any file system Spark can list. A folder without tables is an error.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+    parts = F.split("path", "/")
+    name, above = F.element_at(parts, -1), F.element_at(parts, -2)
+    is_part = name.startswith("part-")
+    table = F.when(is_part, above).otherwise(F.regexp_replace(name, r"\.csv$", ""))
+    place = F.when(is_part, F.regexp_replace("path", r"/[^/]*$", "")).otherwise(F.col("path"))
+    # One row per table, however many files it has.
+    found = {row.table: row.place for row in files.load(folder).select(table.alias("table"), place.alias("place")).distinct().collect()}
+    if not found:
+        raise ValueError(f"no CSV tables in {folder}")
+    return found
+
+
+def as_frame(spark: SparkSession, table: str, rows: object) -> DataFrame:
+    """In-memory rows or a pandas frame by the declared schema; columns that the load step fills may be absent."""
+    if isinstance(rows, DataFrame):
+        return rows
+    columns = list(getattr(rows, "columns", []))
+    fields = [f for f in SCHEMAS[table].split(", ") if not columns or f.split(" ", 1)[0] in columns]
+    if columns:
+        rows = rows[[f.split(" ", 1)[0] for f in fields]]
+    return spark.createDataFrame(rows, ", ".join(fields))
 
 
 def load_frames(spark: SparkSession, database: str, frames: Mapping[str, object], mode: str = "replace") -> list[str]:
     """Loads in-memory rows or pandas frames by the declared schemas."""
     for table, rows in frames.items():
-        df = rows if isinstance(rows, DataFrame) else spark.createDataFrame(rows, SCHEMAS[table])
-        save_table(normalize(df), database, table, mode)
+        save_table(normalize(as_frame(spark, table, rows)), database, table, mode)
     return list(frames)
 
 
@@ -85,7 +106,7 @@ def normalize(df: DataFrame) -> DataFrame:
 def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "csv", sample_rows: int | None = None) -> dict[str, str]:
     """Writes each table as CSV (header, empty text for NULL) or parquet, with an optional first-rows sample beside it."""
     if fmt not in ("csv", "parquet"):
-        raise ValueError(f"Unsupported format: {fmt}")
+        raise ValueError(f"tables can be written as csv or parquet, not as {fmt!r}")
     written = {}
     for name, df in tables.items():
         flat = normalize(df)

@@ -196,7 +196,7 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
                    CAST(floor(l_extendedprice) AS BIGINT) % 64 / 64.0E0 AS revenue,
                    (CASE l_linestatus WHEN 'F' THEN 'iOS' ELSE 'Android' END) AS platform,
                    concat('N', {txt('l_suppkey % 25')}) AS region, concat('dev', {txt('l_suppkey % 9')}) AS device_model
-            FROM lineitem WHERE l_linenumber >= 5""",
+            FROM lineitem""",
         "ads": f"""
             SELECT CAST(p_partkey AS INT) AS ad_id, concat('ad ', {txt('p_partkey')}) AS ad_name, p_brand AS studio,
                    CAST({d.plus_days("DATE '2024-12-31'", "p_partkey % 60")} AS TIMESTAMP) AS launch_date, p_size > 5 AS is_active,
@@ -217,7 +217,7 @@ def role_sql(dialect: type[SparkDialect] | type[AnsiDialect]) -> dict[str, str]:
             SELECT CAST(ad_id * 10 + slot AS INT) AS mapping_id, CAST(ad_id AS INT) AS ad_id,
                    CAST(floor(ad_id / 20) + slot AS INT) AS campaign_id,
                    CAST(DATE '2024-12-31' AS TIMESTAMP) AS association_start, CAST(DATE '2025-03-31' AS TIMESTAMP) AS association_end
-            FROM (SELECT p_partkey AS ad_id, {d.two_campaigns} AS slot FROM part WHERE p_size > 2) linked""",
+            FROM (SELECT p_partkey AS ad_id, {d.two_campaigns} AS slot FROM part) linked""",
     }
 
 
@@ -278,13 +278,9 @@ class StarBronze:
 
 
     def _view(self, table: str) -> str:
-        """The given table as a view; one that comes in fewer pieces than there are cores is spread over them."""
-        rows = read_star(self._spark, self._sf_dir, table)
-        cores = self._spark.sparkContext.defaultParallelism
-        if rows.rdd.getNumPartitions() < cores and table in ("lineitem", "orders", "events"):
-            rows = rows.repartition(cores)
+        """The given table as a view."""
         name = f"star_{table}"
-        rows.createOrReplaceTempView(name)
+        read_star(self._spark, self._sf_dir, table).createOrReplaceTempView(name)
         return name
 
 

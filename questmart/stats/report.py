@@ -60,35 +60,12 @@ def _p(value: float | None) -> str:
 
 
 def render_text(report: DataFrame) -> str:
-    """The six rows as readable text."""
-    rows = report.collect()
-    rule, line = "=" * 72, "-" * 72
-    out = [f"A/B Test Results (alpha={ALPHA})", rule, "", "CONTINUOUS OUTCOMES", line]
-    for row in (r for r in rows if r["domain"] == "continuous"):
-        fields = {
-            "Basis": row["basis"],
-            "Test used": row["test_used"],
-            "Statistic": f"{row['statistic']:.3f}",
-            "p-value": _p(row["p_value"]),
-            "Decision": row["decision"],
-        }
-        out += [f"• {row['metric']}", *[f"  {name:<12}: {value}" for name, value in fields.items()], ""]
-    out += ["PROPORTIONS / RATES", line]
-    for row in (r for r in rows if r["domain"] == "proportion"):
-        fields = {
-            "Basis": f"{row['basis']} (two-proportion z + χ²)",
-            "z-statistic": f"{row['statistic']:.3f}",
-            "p-value (z)": _p(row["p_value"]),
-            "χ²": f"{row['chi2_stat']:.3f} (df={row['chi2_dof']}), p={_p(row['chi2_p_value'])}",
-            f"CI ({row['ci_method']}, {row['ci_compare']})": f"[{row['ci_low']:.6f}, {row['ci_high']:.6f}]",
-            "Decision": row["decision"],
-        }
-        out += [f"• {row['metric']}", *[f"  {name:<12}: {value}" for name, value in fields.items()], ""]
-    out += [
-        line,
-        "Interpretation key:",
-        "  • Reject H0          : groups differ at the 0.05 level",
-        "  • Fail to reject H0  : no statistically significant difference at 0.05",
-        "",
-    ]
-    return "\n".join(out)
+    """The report's rows (six at most) as a table in plain text, one measure per line."""
+    lines = [f"Experiment report, significance level {ALPHA}"]
+    for row in report.collect():
+        parts = [f"{row['test_used']} = {row['statistic']:.3f}", f"p {_p(row['p_value'])}"]
+        if row["domain"] == "proportion":
+            parts.append(f"chi-square({row['chi2_dof']}) = {row['chi2_stat']:.3f}, p {_p(row['chi2_p_value'])}")
+            parts.append(f"{row['ci_method']} interval of the difference {row['ci_low']:.6f} to {row['ci_high']:.6f}")
+        lines.append(f"{row['metric']} by {row['basis']}: {'; '.join(parts)}; {row['decision']}")
+    return "\n".join(lines) + "\n"

@@ -11,7 +11,6 @@ from questmart.stats.distributions import chi2_one_dof, f_upper, normal_two_side
 from questmart.stats.samples import NO_ROWS, Moments, collect_moments, deviations, rank_sums
 
 ALPHA = 0.05
-NORMAL_BY_SIZE = 5000
 NAN = float("nan")
 
 
@@ -28,8 +27,8 @@ def decision(p: float) -> str:
 
 
 def normality_p(m: Moments) -> float:
-    """Above 5000 rows normality is taken for granted; below, Jarque-Bera. A constant sample passes."""
-    if m.n > NORMAL_BY_SIZE or math.isnan(m.skewness) or math.isnan(m.kurtosis):
+    """Jarque-Bera from the moments, at every size. A constant sample passes."""
+    if math.isnan(m.skewness) or math.isnan(m.kurtosis):
         return 1.0
     return math.exp(-(m.n / 6) * (m.skewness**2 + m.kurtosis**2 / 4) / 2)
 

@@ -77,9 +77,36 @@ def test_layers_report_and_counts(spark, sf_dir, folder):
     runs = pipeline.run_studies(spark, folder, families=["Random Forest"], targets={"binary": study.TARGETS["binary"]}, sizes=sizes)
     assert spark.read.option("header", True).csv(f"{folder}/summary/model_metrics").count() == len(runs) == 1
     assert spark.read.option("header", True).csv(f"{folder}/individual/random_forest__binary_classification_summary").first().metric == "accuracy"
-    assert "A/B Test Results" in spark.read.text(f"{folder}/ab_test_results_text").first().value
+    assert "Experiment report" in spark.read.text(f"{folder}/ab_test_results_text").first().value
 
 
 def test_run_stops_at_the_first_failure(spark):
     with pytest.raises(Exception):
         pipeline.run_layer(spark, "silver", bronze="no_such_database")
+
+
+def test_written_folders_load_again_with_line_breaks_and_pandas_frames(spark, folder):
+    import pandas as pd
+    import pytest
+
+    notes = spark.createDataFrame([(1, "two\nlines"), (2, "one")], "id INT, note STRING")
+    files.write_tables({"notes": notes}, folder)
+    found = files.list_csv_tables(spark, folder)
+    assert set(found) == {"notes"}
+    assert {r.note for r in files.read_csv_table(spark, found["notes"], "notes").collect()} == {"two\nlines", "one"}
+    with pytest.raises(ValueError):
+        files.list_csv_tables(spark, _empty(folder))
+    ads = pd.DataFrame([("x", "n", "p", "CPM", 1.0, None, None, True, 30, False)], columns=HOSTED)
+    assert "hosted_ads" in bootstrap_bronze(spark, frames={"hosted_ads": ads}, database="b_pandas")
+    assert spark.table("b_pandas.hosted_ads").count() == 1
+
+
+HOSTED = ["ad_id", "ad_network", "advertised_product", "pricing_model", "value_per_action", "start_date", "end_date", "is_active", "ad_length", "rewarded"]
+
+
+def _empty(folder):
+    import os
+
+    path = f"{folder}/empty"
+    os.makedirs(path)
+    return path

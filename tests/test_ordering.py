@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from questmart.operators.ordering import (
     assign_dense_ids,
     running_totals,
-    split_hot_keys,
     stage_sorted,
     with_last_seen,
     with_next,
@@ -77,9 +76,8 @@ def _per_key(rows):
     return keyed
 
 
-@pytest.mark.parametrize("limit", [10, 150, 10_000])
-def test_next_row(frame, rows, limit):
-    got = {r.i: r.next_i for r in with_next(frame, ["k"], ["t", "i"], ["i"], limit=limit).collect()}
+def test_next_row(frame, rows):
+    got = {r.i: r.next_i for r in with_next(frame, ["k"], ["t", "i"], ["i"]).collect()}
     want = {}
     for own in _per_key(rows).values():
         for row, following in zip(own, [*own[1:], None]):
@@ -87,9 +85,8 @@ def test_next_row(frame, rows, limit):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [10, 150, 10_000])
-def test_last_seen(frame, rows, limit):
-    got = {r.i: (r.m_now, r.m_before) for r in with_last_seen(frame, ["k"], ["t", "i"], "m", limit=limit).collect()}
+def test_last_seen(frame, rows):
+    got = {r.i: (r.m_now, r.m_before) for r in with_last_seen(frame, ["k"], ["t", "i"], "m").collect()}
     want = {}
     for own in _per_key(rows).values():
         last = None
@@ -102,17 +99,11 @@ def test_last_seen(frame, rows, limit):
 def test_marker_carried_through_partitions_without_one(spark):
     rows = [("hot", i, i, 9 if i == 0 else None) for i in range(400)]
     df = spark.createDataFrame(rows, "k STRING, t INT, i INT, m INT").repartition(4)
-    got = with_last_seen(df, ["k"], ["t"], "m", limit=5).where(F.col("m_now") != 9).count()
-    missing = with_last_seen(df, ["k"], ["t"], "m", limit=5).where(F.col("m_now").isNull()).count()
+    got = with_last_seen(df, ["k"], ["t"], "m").where(F.col("m_now") != 9).count()
+    missing = with_last_seen(df, ["k"], ["t"], "m").where(F.col("m_now").isNull()).count()
     assert (got, missing) == (0, 0)
 
 
-def test_split_keeps_every_row(frame):
-    plain, hot = split_hot_keys(frame, ["k"], 150)
-    assert plain.count() + hot.count() == frame.count()
-    assert [r.k for r in hot.select("k").distinct().collect()] == ["hot"]
-
-
 def test_duration_counts_second_boundaries(spark):
     df = spark.sql(
         "SELECT TIMESTAMP '2025-01-01 00:00:00.9' AS session_start, TIMESTAMP '2025-01-01 00:00:01.1' AS session_end, CAST(NULL AS BIGINT) AS duration_seconds "

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from verification import registry
 from questmart.operators.currency import purchases_in_usd
 from questmart.params import Params
 from questmart.plans import analytics, gold, silver
@@ -19,9 +20,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not EAGER.search(n)))
+@pytest.mark.parametrize("name", sorted(n for n in registry.QUERIES if not EAGER.search(n)))
 def test_no_pairing_and_no_single_task_windows(spark, sf_dir, name):
-    text = plan(entry.queries()[name](spark, sf_dir))
+    text = plan(registry.QUERIES[name](spark, sf_dir))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     windows = re.findall(r"Window \[.*?\], \[(.*?)\]", text)
     assert all(keys.strip() for keys in windows), "a window without partition keys"

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from verification import registry
 from verification.compare import compare, duckdb_connection
 
-SQL = entry.oracle_sql()
+SQL = registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con(sf_dir):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_agrees_with_sql(spark, sf_dir, con, name):
-    same, note = compare(entry.queries()[name](spark, sf_dir), con, SQL[name])
+    same, note = compare(registry.QUERIES[name](spark, sf_dir), con, SQL[name])
     assert same, note
 
 
@@ -24,4 +25,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(entry.queries())
+    assert set(SQL) <= set(registry.QUERIES)

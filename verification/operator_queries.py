@@ -161,7 +161,7 @@ _COUNTRY_SQL = "CASE c_nationkey % 13 " + " ".join(f"WHEN {i} THEN '{c}'" for i,
     f"""
 WITH own AS (SELECT * FROM (VALUES {', '.join(str(row) for row in acquisition.COUNTRY_CURRENCIES)}) v(country, cur, mult)),
 regional AS (SELECT unnest(string_split(names, ', ')) AS country, cur, mult
-             FROM (VALUES {', '.join(str((cur, mult, names)) for _, cur, mult, names in acquisition.REGION_CURRENCIES)}) v(cur, mult, names))
+             FROM (VALUES {', '.join(str((cur, mult, ', '.join(names))) for _, cur, mult, names in acquisition.REGION_CURRENCIES)}) v(cur, mult, names))
 SELECT c.c_custkey AS customer, c.country, COALESCE(o.cur, r.cur, 'USD') AS currency_name, CAST(COALESCE(o.mult, r.mult, 1.0) AS DOUBLE) AS market_multiplier
 FROM (SELECT c_custkey, {_COUNTRY_SQL} AS country FROM customer) c
 LEFT JOIN own o ON o.country = c.country LEFT JOIN regional r ON r.country = c.country""",
@@ -273,7 +273,7 @@ def _level_outcomes(spark, sf_dir):
     """
 SELECT lived AS day, count(*) AS churned
 FROM (SELECT max(CAST(s.session_start AS DATE)) - CAST(a.signup_date AS DATE) AS lived FROM accounts a JOIN sessions s USING (account_id)
-      GROUP BY a.account_id, a.signup_date) WHERE lived >= 0 GROUP BY lived""",
+      GROUP BY a.account_id, a.signup_date) GROUP BY lived""",
     ("accounts", "sessions"),
 )
 def _churned_by_day(spark, sf_dir):
