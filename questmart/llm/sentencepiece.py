@@ -54,6 +54,9 @@ class PieceModel:
             raise ValueError("pieces with a space behind other characters are not supported")
         self.word = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self._rank(proto)
+        self.surface = [self._surface(i) for i in range(len(self.pieces))]
+        self.controls = [i for i, kind in enumerate(self.kinds) if kind == CONTROL]
+        self.decimal = [str(i) for i in range(len(self.pieces))]
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def _rank(self, proto) -> None:
@@ -191,10 +194,35 @@ class PieceModel:
         self.learn(set(words))
         return [i for word in words for i in self.cache[word]] + [self.end]
 
+    def _surface(self, i: int) -> bytes:
+        """What an id adds to the decoded text, in UTF-8."""
+        if self.kinds[i] == BYTE:
+            return bytes([int(self.pieces[i][3:5], 16)])
+        if self.kinds[i] == NORMAL:
+            return self.pieces[i].replace(SPACE, " ").encode()
+        return UNKNOWN_SURFACE.encode() if self.kinds[i] == UNKNOWN else b""
+
     # -- decoding -------------------------------------------------------------------------------------------------
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of the ids: bytes are joined, bad bytes become U+FFFD each, one leading space is taken off."""
+        if ids and self.kinds[ids[-1]] == CONTROL:
+            ids = ids[:-1]
+        if not ids:
+            return ""
+        if any(control in ids for control in self.controls):
+            return self._decode_by_runs(ids)
+        first = ids[0]
+        joined = b"".join([self.surface[i] for i in ids])
+        try:
+            # Pieces are whole characters, so the joined bytes are good exactly if every run of single bytes is.
+            whole = joined.decode()
+        except UnicodeDecodeError:
+            return self._decode_by_runs(ids)
+        return whole[1:] if self.kinds[first] == NORMAL and self.pieces[first].startswith(SPACE) else whole
+
+    def _decode_by_runs(self, ids: Sequence[int]) -> str:
+        """Run by run, where some bytes are no characters or control pieces part them."""
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -309,7 +337,7 @@ def _tokenize_batch(model: PieceModel, batch: pa.RecordBatch, keep: bool = True)
     counts, encoded, decoded, kept = [], [], [], []
     for ids in _encoded(model, batch):
         counts.append(len(ids))
-        encoded.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        encoded.append(hashlib.sha256(" ".join([model.decimal[i] for i in ids]).encode()).hexdigest())
         decoded.append(hashlib.sha256(model.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
         if keep:
             kept.append(ids)
