@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,6 +16,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = (1 << 63) - 1
 
 
+def session_buckets(spark: SparkSession) -> int:
+    """Buckets for a table that lives as long as the run: as many as the session's shuffles have, so they grow with the data
+    it was sized for, and a join with such a table needs no second shuffle."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is worked out once per row, however often the body uses it.
 

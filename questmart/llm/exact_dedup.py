@@ -7,14 +7,14 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.llm.common import keep_documents, text_key, whole_text, without_blanks
+from questmart.llm.common import keep_documents, session_buckets, text_key, whole_text, without_blanks
 from questmart.session import new_stage_path, stage
 
 DEFAULT_BUCKETS = 32
 
 
 class DigestIndex:
-    """Digests of all texts seen so far, at ``path``; later sessions open it again by the same path.
+    """Digests of all texts seen so far, at ``path``; later sessions open it again by the same path and number of buckets.
 
     ``add`` takes a batch of documents, keeps one row per new digest and appends it to the index. Texts are equal when
     they are identical without blanks; null counts as empty. Inside a batch the row with the longest original text stays,
@@ -78,9 +78,10 @@ class DigestIndex:
         return joined.select("doc_id", "text_key", "keep_id", "group_size", kept.alias("kept"), "digest")
 
 
-def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Dedup of one table: a new index that sees the table as its only batch."""
-    index = DigestIndex(docs.sparkSession, new_stage_path(docs.sparkSession, "digest-index"), buckets)
+def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
+    """Dedup of one table: a new index, bucketed like the session's shuffles, that sees the table as its only batch."""
+    spark = docs.sparkSession
+    index = DigestIndex(spark, new_stage_path(spark, "digest-index"), buckets or session_buckets(spark))
     return index.add(docs, id_column, text)
 
 

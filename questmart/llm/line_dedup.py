@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.llm.common import BLANKS, LAST_ID, ascii_lower, let, text_key, whole_text
+from questmart.llm.common import BLANKS, LAST_ID, ascii_lower, let, session_buckets, text_key, whole_text
 from questmart.session import stage
 
 MIN_KEY_CHARS = 10
@@ -22,8 +22,8 @@ class LineRuns:
     The two 64-bit hashes of a key have different seeds and are compared together.
     """
 
-    def __init__(self, spark: SparkSession, buckets: int = 16, fan_in: int = 3) -> None:
-        self.spark, self.buckets, self.fan_in = spark, buckets, fan_in
+    def __init__(self, spark: SparkSession, buckets: int | None = None, fan_in: int = 3) -> None:
+        self.spark, self.buckets, self.fan_in = spark, buckets or session_buckets(spark), fan_in
         self.levels: list[list[str]] = []
 
     def _write(self, run: DataFrame) -> str:
@@ -58,6 +58,11 @@ class LineRuns:
         self.levels[0].append(self._write(keys))
         self._compact()
 
+    def drop(self) -> None:
+        for name in self.runs():
+            self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
     def _compact(self) -> None:
         level = 0
         while level < len(self.levels):
@@ -107,6 +112,7 @@ def repeated_lines(
         runs.add(lines.where(F.col("batch") == number).select("h1", "h2", "owner"))
     # Stored before it meets the lines: a line held by very many documents is then split by the adaptive join.
     owners = stage(runs.owners().withColumnRenamed("owner", "first_owner"), "line-owners")
+    runs.drop()
     return (
         lines.join(owners, ["h1", "h2"])
         .where(F.col("owner") != F.col("first_owner"))

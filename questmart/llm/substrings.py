@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from questmart.llm.common import LAST_ID, text_key, whole_text
+from questmart.llm.common import LAST_ID, session_buckets, text_key, whole_text
 from questmart.llm.shipping import ship_package
 from questmart.session import stage
 
@@ -31,7 +31,6 @@ WINDOW = 20
 GRAM = 6
 # Most bundles of one anchor that a tree is built from.
 TREE_BUNDLES = 4_000
-BUCKETS = 48
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -143,13 +142,14 @@ def _store_beside(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """Bucketed by document, so that the last join needs no second shuffle of the texts."""
     spark, name = docs.sparkSession, f"passages_{uuid.uuid4().hex}"
     schema = "ref long, doc long, text_key long, no_id boolean, n_words long, digest string, text string, keys array<long>"
-    joined = docs.repartition(BUCKETS, "ref").join(repeated.repartition(BUCKETS, "ref"), "ref", "left")
+    buckets = session_buckets(spark)
+    joined = docs.repartition(buckets, "ref").join(repeated.repartition(buckets, "ref"), "ref", "left")
     (
         joined.select("ref", "doc", "text_key", "no_id", "text", "keys")
         .mapInArrow(_beside, schema)
         .write.format("parquet")
         .option("compression", "zstd")
-        .bucketBy(BUCKETS, "ref")
+        .bucketBy(buckets, "ref")
         .saveAsTable(name)
     )
     return spark.table(name)
