@@ -7,14 +7,17 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from questmart.stats.samples import arpdau, conversion_counts
-from questmart.stats.tests import ALPHA, continuous, decision, proportions
+from questmart.stats.samples import NO_ROWS, arpdau, collect_moments, conversion_counts
+from questmart.stats.tests import ALPHA, continuous, decision, levene, mann_whitney, normality_p, proportions, student_t, welch_t
 
 REPORT_SCHEMA = (
     "metric STRING, domain STRING, test_used STRING, basis STRING, statistic DOUBLE, p_value DOUBLE, alpha DOUBLE, "
     "decision STRING, ci_compare STRING, ci_method STRING, ci_low DOUBLE, ci_high DOUBLE, chi2_stat DOUBLE, "
     "chi2_p_value DOUBLE, chi2_dof INT"
 )
+STATISTICS = (
+    "normality_control", "normality_test", "levene_w", "student_t", "welch_t", "u_control", "z", "chi2", "ci_low", "ci_high",
+)
 
 
 def account_sample(account_level: DataFrame, value: str, converters_only: bool) -> DataFrame:
@@ -29,23 +32,46 @@ def arpdau_sample(daily: DataFrame) -> DataFrame:
     return daily.select(sides.alias("v")).select("v.*")
 
 
-def build_report(daily_revenue: DataFrame, daily_accounts: DataFrame, account_level: DataFrame) -> DataFrame:
-    samples = {
+def continuous_samples(daily_revenue: DataFrame, daily_accounts: DataFrame, account_level: DataFrame) -> dict[str, DataFrame]:
+    """(side, x) of each continuous metric."""
+    return {
         "ARPDAU (daily)": arpdau_sample(arpdau(daily_revenue, daily_accounts)),
         "Total Revenue / Account (all users)": account_sample(account_level, "total_revenue", False),
         "Total Revenue / Account (converters)": account_sample(account_level, "total_revenue", True),
         "Purchase Count / Account (all users)": account_sample(account_level, "purchase_count", False),
         "Purchase Count / Account (converters)": account_sample(account_level, "purchase_count", True),
     }
+
+
+def _conversion(account_level: DataFrame):
+    counts = {row["group_type"]: (row["converted"], row["accounts"]) for row in conversion_counts(account_level).collect()}
+    return proportions(*counts.get("control", (0, 0)), *counts.get("test", (0, 0)))
+
+
+def build_statistics(daily_revenue: DataFrame, daily_accounts: DataFrame, account_level: DataFrame) -> DataFrame:
+    """Every statistic of every metric, whichever test the report chooses; six rows, NULL where a statistic has no value."""
+    rows = []
+    for label, sample in continuous_samples(daily_revenue, daily_accounts, account_level).items():
+        moments = collect_moments(sample)
+        a, b = moments.get("control", NO_ROWS), moments.get("test", NO_ROWS)
+        outcomes = [levene(sample, a, b, "control", "test"), student_t(a, b), welch_t(a, b), mann_whitney(sample, "control", "test")]
+        rows.append((label, normality_p(a), normality_p(b), *[o.statistic for o in outcomes], *(None,) * 4))
+    result = _conversion(account_level)
+    rows.append(("Conversion Rate", *(None,) * 6, result.z.statistic, result.chi2.statistic, result.ci_low, result.ci_high))
+    known = [tuple(None if isinstance(v, float) and math.isnan(v) else v for v in row) for row in rows]
+    schema = "metric STRING, " + ", ".join(f"{name} DOUBLE" for name in STATISTICS)
+    return account_level.sparkSession.createDataFrame(known, schema)
+
+
+def build_report(daily_revenue: DataFrame, daily_accounts: DataFrame, account_level: DataFrame) -> DataFrame:
     rows = []
-    for label, sample in samples.items():
+    for label, sample in continuous_samples(daily_revenue, daily_accounts, account_level).items():
         basis, outcome = continuous(sample)
         rows.append(
             (label, "continuous", outcome.test, basis, outcome.statistic, outcome.p, ALPHA, decision(outcome.p))
             + (None,) * 7
         )
-    counts = {row["group_type"]: (row["converted"], row["accounts"]) for row in conversion_counts(account_level).collect()}
-    result = proportions(*counts.get("control", (0, 0)), *counts.get("test", (0, 0)))
+    result = _conversion(account_level)
     rows.append(
         (
             "Conversion Rate", "proportion", "two_proportion_z", "z + chi2", result.z.statistic, result.z.p, ALPHA,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from questmart.functions.payload import key
@@ -14,7 +16,7 @@ from questmart.session import new_stage_path, stage
 from questmart.sources import files, health
 from questmart.sources.star_tables import bronze_from_star, read_star
 from questmart.stats import samples
-from questmart.stats.report import build_report
+from questmart.stats.report import STATISTICS, build_report, build_statistics
 from verification.mart_queries import ACCOUNT_CTES, ACCOUNT_ROLES, EDA, P, _TRIAL
 from verification.registry import query
 from verification.sql_parts import SPENDING, ratio, text
@@ -409,11 +411,12 @@ def _csv_round_trip(spark, sf_dir):
     ("sessions",),
 )
 def _parquet_append(spark, sf_dir):
-    path = new_stage_path(spark, "append")
+    table = f"append_{uuid.uuid4().hex}"
     sessions = bronze_from_star(spark, sf_dir).sessions.select("session_id", "account_id", "session_start")
-    files.write_one(sessions.withColumn("n", F.lit(1)), path, "parquet")
-    sessions.withColumn("n", F.lit(2)).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    files.save_table(sessions.withColumn("n", F.lit(1)), "default", table)
+    # Columns in another order are matched by name.
+    files.save_table(sessions.select(F.lit(2).alias("n"), *reversed(sessions.columns)), "default", table, "append")
+    return spark.table(f"default.{table}")
 
 
 @query(
@@ -544,6 +547,52 @@ def _ab_rank_sums(spark, sf_dir):
     return samples.rank_sums(_revenue_sample(spark, sf_dir), "control", "test")
 
 
+@query(
+    "ab_test_statistics",
+    f"""
+WITH {EDA},
+rev AS (SELECT s.day, sum(p.usd_event) FILTER (s.side = 'control') AS control, sum(p.usd_event) FILTER (s.side = 'test') AS test
+        FROM trial s JOIN spending p ON p.session_id = s.session_id WHERE p.usd_event IS NOT NULL AND s.side IS NOT NULL GROUP BY ALL),
+acc AS (SELECT day, count(DISTINCT account_id) FILTER (side = 'control') AS c, count(DISTINCT account_id) FILTER (side = 'test') AS t FROM trial GROUP BY ALL),
+sample AS (
+  SELECT 'ARPDAU (daily)' AS metric, 'control' AS side, CAST(rev.control AS DOUBLE) / NULLIF(acc.c, 0) AS x FROM acc JOIN rev ON rev.day = acc.day
+  UNION ALL SELECT 'ARPDAU (daily)', 'test', CAST(rev.test AS DOUBLE) / NULLIF(acc.t, 0) FROM acc JOIN rev ON rev.day = acc.day
+  UNION ALL SELECT 'Total Revenue / Account (all users)', group_type, total_revenue FROM eda
+  UNION ALL SELECT 'Total Revenue / Account (converters)', group_type, total_revenue FROM eda WHERE converted
+  UNION ALL SELECT 'Purchase Count / Account (all users)', group_type, CAST(purchase_count AS DOUBLE) FROM eda
+  UNION ALL SELECT 'Purchase Count / Account (converters)', group_type, CAST(purchase_count AS DOUBLE) FROM eda WHERE converted),
+centred AS (SELECT metric, side, x, x - avg(x) OVER (PARTITION BY metric, side) AS e FROM sample WHERE x IS NOT NULL),
+m AS (SELECT metric, side, CAST(count(*) AS DOUBLE) AS n, avg(x) AS mean, var_samp(x) AS v, avg(abs(e)) AS dm, var_samp(abs(e)) AS dv,
+             sqrt(count(*)) * sum(e * e * e) / nullif(pow(sum(e * e), 1.5), 0) AS skew,
+             count(*) * sum(e * e * e * e) / nullif(pow(sum(e * e), 2), 0) - 3 AS kurt FROM centred GROUP BY ALL),
+normal AS (SELECT *, coalesce(exp(-(n / 6) * (skew * skew + kurt * kurt / 4) / 2), 1) AS jb FROM m),
+ranked AS (SELECT metric, side, rank() OVER (PARTITION BY metric ORDER BY x) + (count(*) OVER (PARTITION BY metric, x) - 1) / 2 AS r FROM centred),
+us AS (SELECT metric, sum(r) - count(*) * (count(*) + 1) / 2 AS u FROM ranked WHERE side = 'control' GROUP BY metric),
+pairs AS (
+  SELECT a.metric, a.jb AS ja, b.jb AS jb, a.n AS na, b.n AS nb, a.mean AS ma, b.mean AS mb, a.v AS va, b.v AS vb, a.dm AS da, b.dm AS db,
+         a.dv AS sa, b.dv AS sb, (a.n * a.dm + b.n * b.dm) / (a.n + b.n) AS grand, u
+  FROM normal a JOIN normal b ON a.metric = b.metric JOIN us ON us.metric = a.metric WHERE a.side = 'control' AND b.side = 'test'),
+rates AS (
+  SELECT CAST(count(*) FILTER (group_type = 'control' AND converted) AS DOUBLE) AS x1, CAST(count(*) FILTER (group_type = 'control') AS DOUBLE) AS n1,
+         CAST(count(*) FILTER (group_type = 'test' AND converted) AS DOUBLE) AS x2, CAST(count(*) FILTER (group_type = 'test') AS DOUBLE) AS n2 FROM eda),
+shares AS (SELECT *, x1 / n1 AS p1, x2 / n2 AS p2, (x1 + x2) / (n1 + n2) AS p,
+                  1.959963984540054 * sqrt(x1 / n1 * (1 - x1 / n1) / n1 + x2 / n2 * (1 - x2 / n2) / n2) AS half FROM rates)
+SELECT metric, round(ja, 6) AS normality_control, round(jb, 6) AS normality_test,
+       round((na + nb - 2) * (na * pow(da - grand, 2) + nb * pow(db - grand, 2)) / nullif((na - 1) * sa + (nb - 1) * sb, 0), 6) AS levene_w,
+       round((ma - mb) / sqrt(nullif(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb), 0)), 6) AS student_t,
+       round((ma - mb) / sqrt(nullif(va / na + vb / nb, 0)), 6) AS welch_t, u AS u_control,
+       CAST(NULL AS DOUBLE) AS z, CAST(NULL AS DOUBLE) AS chi2, CAST(NULL AS DOUBLE) AS ci_low, CAST(NULL AS DOUBLE) AS ci_high FROM pairs
+UNION ALL
+SELECT 'Conversion Rate', NULL, NULL, NULL, NULL, NULL, NULL,
+       round((p1 - p2) / nullif(sqrt(p * (1 - p) * (1 / n1 + 1 / n2)), 0), 6),
+       round((n1 + n2) * pow(greatest(0, abs(x1 * (n2 - x2) - x2 * (n1 - x1)) - (n1 + n2) / 2), 2) / nullif((x1 + x2) * (n1 + n2 - x1 - x2) * n1 * n2, 0), 6),
+       round(p2 - p1 - half, 6), round(p2 - p1 + half, 6) FROM shares""",
+    ACCOUNT_ROLES,
+)
+def _ab_statistics(spark, sf_dir):
+    return build_statistics(*_experiment(spark, sf_dir)).select("metric", *[F.round(name, 6).alias(name) for name in STATISTICS])
+
+
 @query("ab_test_report")
 def _ab_report(spark, sf_dir):
     return build_report(*_experiment(spark, sf_dir))
