@@ -25,7 +25,6 @@ from pyspark.sql.window import Window
 
 from questmart.llm.common import LAST_ID, session_buckets, text_key, whole_text
 from questmart.llm.shipping import ship_package
-from questmart.session import stage
 
 WINDOW = 20
 GRAM = 6
@@ -155,6 +154,13 @@ def _store_beside(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """A compact stored copy and its name, so that it can be dropped when the next one is stored."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").option("compression", "zstd").saveAsTable(name)
+    return df.sparkSession.table(name), name
+
+
 # -- bundles and trees ----------------------------------------------------------------------------------------------
 
 
@@ -257,9 +263,11 @@ def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> DataFr
         _bundle_rows, "key long, offset int, windows int, words binary, doc long, text_key long, at long"
     )
     distinct = rows.groupBy("key", "offset", "windows", "words").agg(F.min(F.struct("doc", "text_key", "at")).alias("first"))
-    bundles = stage(distinct.select("key", "offset", "windows", "words", "first.*"), "bundles")
+    # The offset only tells bundles apart and is not needed behind this.
+    bundles, name = _stored(distinct.select("key", "windows", "words", "first.*"), "bundles")
     several = bundles.groupBy("key").agg(F.count("*").alias("bundles")).where("bundles > 1")
-    marked = stage(bundles.join(several, "key", "left"), "marked-bundles")
+    marked, _ = _stored(bundles.join(several, "key", "left"), "marked_bundles")
+    bundles.sparkSession.sql(f"DROP TABLE {name}")
     columns = ["key", "windows", "words", "doc", "text_key", "at"]
     alone = marked.where("bundles IS NULL").select("doc", "text_key", "at", "windows")
     grouped = marked.where(F.col("bundles") <= tree_bundles).select(*columns).repartition("key").sortWithinPartitions("key")
