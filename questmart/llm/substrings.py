@@ -2,9 +2,10 @@
 
 Only suffixes of repeated passages enter a tree. Every window of WINDOW words has an anchor: the least of its hashed
 GRAM-word sequences, the leftmost of equals. Equal windows have equal anchors, so a window whose anchor occurs once is
-unique. Consecutive windows with one anchor form a bundle; equal bundles are aggregated to their first occurrence before
-anything is gathered, so a passage shared by any number of documents is one row. Bundles are then split into groups by a
-prefix of variable length: the anchor's words, and for anchors with more bundles than a tree may hold, all WINDOW words of
+unique. Consecutive windows with one anchor form a bundle; equal bundles (by a 128-bit digest of their words) are aggregated
+to their first occurrence before anything is gathered, so a passage shared by any number of documents is one small row.
+Bundles whose anchor has others fetch their words from the document of their first occurrence. They are split into groups by
+a prefix of variable length: the anchor's words, and for anchors with more bundles than a tree may hold, all WINDOW words of
 the window, at which length the prefix is itself a deep node and a plain minimum finds its first suffix. Each group's
 suffix tree is built top down; internal nodes WINDOW words deep are the repeats, and their first suffix stays.
 """
@@ -14,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,12 @@ class _WordHashes(dict):
 _HASHES = _WordHashes()
 
 
-def anchors(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per bundle: anchor hash, first window, number of windows, words from the first window to the anchor."""
+def anchors(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per bundle: anchor hash, first window, number of windows."""
     count = len(words) - WINDOW + 1
     if count < 1:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty
+        return empty, empty, empty
     hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
     grams = np.zeros(len(words) - GRAM + 1, np.uint64)
     for i in range(GRAM):
@@ -63,7 +64,7 @@ def anchors(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     spans = np.lib.stride_tricks.sliding_window_view(grams, WINDOW - GRAM + 1)
     at = spans.argmin(axis=1) + np.arange(count)
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    return grams[at[first]].view(np.int64), first, np.diff(np.r_[first, count]), at[first] - first
+    return grams[at[first]].view(np.int64), first, np.diff(np.r_[first, count])
 
 
 def words_of(text: str) -> list[bytes]:
@@ -110,37 +111,56 @@ def repeated_anchors(docs: DataFrame) -> DataFrame:
     return repeated.groupBy("ref").agg(F.collect_set("key").alias("keys"))
 
 
-# -- documents beside their repeated anchors ------------------------------------------------------------------------
+# -- documents beside their repeated bundles ------------------------------------------------------------------------
+
+
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else [], kind))
 
 
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents without a repeated anchor are finished here and leave their text behind."""
+    """Documents without a repeated anchor are finished here and leave their text behind; the others keep the key, first
+    window and number of windows of each bundle with a repeated anchor."""
+    nothing = np.zeros(0, np.int64)
     for batch in batches:
         for begin in range(0, batch.num_rows, 500):
             part = batch.slice(begin, 500)
-            counts, digests, texts = [], [], []
+            counts, digests, texts, bundles = [], [], [], []
             for text, keys in zip(part.column("text"), part.column("keys")):
                 text = text.as_py()
-                words = words_of(text)
+                words, chosen = words_of(text), (nothing, nothing, nothing)
+                if keys.is_valid:
+                    key, first, windows = anchors(words)
+                    repeated = np.isin(key, keys.values.to_numpy())
+                    chosen = key[repeated], first[repeated], windows[repeated]
                 counts.append(len(words))
-                digests.append(None if keys.is_valid else hashlib.sha256(b" ".join(words)).hexdigest())
-                texts.append(text if keys.is_valid else None)
+                digests.append(None if len(chosen[0]) else hashlib.sha256(b" ".join(words)).hexdigest())
+                texts.append(text if len(chosen[0]) else None)
+                bundles.append(chosen)
+            keys, starts, windows = zip(*bundles)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(c) for c in ("ref", "doc", "text_key", "no_id")],
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.string()),
                     pa.array(texts, pa.string()),
-                    part.column("keys"),
+                    _lists(list(keys), pa.int64()),
+                    _lists(list(starts), pa.int32()),
+                    _lists(list(windows), pa.int32()),
                 ],
-                ["ref", "doc", "text_key", "no_id", "n_words", "digest", "text", "keys"],
+                ["ref", "doc", "text_key", "no_id", "n_words", "digest", "text", "keys", "starts", "windows"],
             )
 
 
 def _store_beside(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Bucketed by document, so that the last join needs no second shuffle of the texts."""
+    """Bucketed by document, so that the later joins need no second shuffle of the texts. ``text`` is null where no bundle
+    has a repeated anchor."""
     spark, name = docs.sparkSession, f"passages_{uuid.uuid4().hex}"
-    schema = "ref long, doc long, text_key long, no_id boolean, n_words long, digest string, text string, keys array<long>"
+    schema = (
+        "ref long, doc long, text_key long, no_id boolean, n_words long, digest string, text string, "
+        "keys array<long>, starts array<int>, windows array<int>"
+    )
     buckets = session_buckets(spark)
     joined = docs.repartition(buckets, "ref").join(repeated.repartition(buckets, "ref"), "ref", "left")
     (
@@ -164,33 +184,68 @@ def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
 # -- bundles and trees ----------------------------------------------------------------------------------------------
 
 
-def _chosen(words: list[bytes], keys: set[int]) -> Iterator[tuple[int, int, int, int]]:
-    """(key, first window, windows, offset) of the bundles whose anchor is one of ``keys``."""
-    found = anchors(words)
-    for key, first, count, offset in zip(*(column.tolist() for column in found)):
-        if key in keys:
-            yield key, first, count, offset
+def _bundle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["key", "h1", "h2", "doc", "text_key", "at", "windows"]
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 500):
+            part = batch.slice(begin, 500)
+            digests = []
+            for text, starts, windows in zip(*(part.column(c) for c in ("text", "starts", "windows"))):
+                words = words_of(text.as_py())
+                for first, count in zip(starts.as_py(), windows.as_py()):
+                    passage = b" ".join(words[first : first + count + WINDOW - 1])
+                    digests.append(hashlib.blake2b(passage, digest_size=16).digest())
+            halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            lists = part.column("keys")
+            owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    lists.flatten(),
+                    pa.array(halves[:, 0]),
+                    pa.array(halves[:, 1]),
+                    part.column("doc").take(pa.array(owner)),
+                    part.column("text_key").take(pa.array(owner)),
+                    part.column("starts").flatten(),
+                    part.column("windows").flatten(),
+                ],
+                names,
+            )
 
 
-def _bundle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "offset", "windows", "words", "doc", "text_key", "at"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+_PASSAGE = pa.schema(
+    [("key", pa.int64()), ("windows", pa.int32()), ("words", pa.binary()), ("doc", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32())]
+)
+_PASSAGE_SQL = "key long, windows int, words binary, doc long, text_key long, at int"
 
-    def made(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) if rows else [[] for _ in names]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of the bundles that a document was asked for."""
+    done = None
     for batch in batches:
-        rows: list[tuple] = []
-        for doc, text_key_, text, keys in zip(*(batch.column(c) for c in ("doc", "text_key", "text", "keys"))):
-            words, doc, text_key_ = words_of(text.as_py()), doc.as_py(), text_key_.as_py()
-            for key, first, count, offset in _chosen(words, set(keys.as_py())):
-                passage = b" ".join(words[first : first + count + WINDOW - 1])
-                rows.append((key, offset, count, passage, doc, text_key_, first))
-            if len(rows) >= 20_000:
-                yield made(rows)
-                rows = []
-        yield made(rows)
+        for begin in range(0, batch.num_rows, 100):
+            out = []
+            for row in batch.slice(begin, 100).to_pylist():
+                # Repeated rows follow each other and hold the same passages.
+                own = (row["doc"], row["text_key"])
+                if own == done:
+                    continue
+                done, words = own, words_of(row["text"])
+                for b in row["wanted"]:
+                    if (b["doc"], b["text_key"]) == own:
+                        passage = b" ".join(words[b["at"] : b["at"] + b["windows"] + WINDOW - 1])
+                        out.append((b["key"], b["windows"], passage, *own, b["at"]))
+            columns = list(zip(*out)) if out else [[] for _ in _PASSAGE]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PASSAGE)], schema=_PASSAGE)
+
+
+def _with_words(beside: DataFrame, bundles: DataFrame) -> DataFrame:
+    """``bundles`` with their words, from the documents of their first occurrences: the texts stay where they are."""
+    wanted = bundles.groupBy(F.xxhash64("doc", "text_key").alias("ref")).agg(
+        F.collect_list(F.struct("key", "windows", "doc", "text_key", "at")).alias("wanted")
+    )
+    # Asking documents costs one bounded list each: a document has at most as many bundles as words.
+    joined = beside.where("text IS NOT NULL").select("ref", "doc", "text_key", "text").join(wanted.hint("merge"), "ref")
+    return joined.select("doc", "text_key", "text", "wanted").mapInArrow(_passages, _PASSAGE_SQL)
 
 
 def deep_nodes(suffixes: list[tuple[list[bytes], int]], depth: int) -> Iterator[list[int]]:
@@ -241,8 +296,8 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pylist(out, schema=_FIRST)
 
 
-_FIRST = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("at", pa.int64()), ("windows", pa.int32())])
-_FIRST_SQL = "doc long, text_key long, at long, windows int"
+_FIRST = pa.schema([("doc", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32()), ("windows", pa.int32())])
+_FIRST_SQL = "doc long, text_key long, at int, windows int"
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,29 +308,26 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = row["words"].split(b" ")
             for i in range(row["windows"]):
                 rows.append({"prefix": b" ".join(words[i : i + WINDOW]), "doc": row["doc"], "text_key": row["text_key"], "at": row["at"] + i})
-        schema = pa.schema([("prefix", pa.binary()), ("doc", pa.int64()), ("text_key", pa.int64()), ("at", pa.int64())])
+        schema = pa.schema([("prefix", pa.binary()), ("doc", pa.int64()), ("text_key", pa.int64()), ("at", pa.int32())])
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
 def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> DataFrame:
     """(doc, text_key, at, windows): runs of windows that occur nowhere earlier, of all windows with a repeated anchor."""
-    rows = beside.where("keys IS NOT NULL").select("doc", "text_key", "text", "keys").mapInArrow(
-        _bundle_rows, "key long, offset int, windows int, words binary, doc long, text_key long, at long"
+    rows = beside.where("text IS NOT NULL").select("doc", "text_key", "text", "keys", "starts", "windows").mapInArrow(
+        _bundle_rows, "key long, h1 long, h2 long, doc long, text_key long, at int, windows int"
     )
-    distinct = rows.groupBy("key", "offset", "windows", "words").agg(F.min(F.struct("doc", "text_key", "at")).alias("first"))
-    # The offset only tells bundles apart and is not needed behind this.
-    bundles, name = _stored(distinct.select("key", "windows", "words", "first.*"), "bundles")
+    first = F.min(F.struct("doc", "text_key", "at", "windows")).alias("first")
+    bundles, name = _stored(rows.groupBy("key", "h1", "h2").agg(first).select("key", "first.*"), "bundles")
     several = bundles.groupBy("key").agg(F.count("*").alias("bundles")).where("bundles > 1")
     marked, _ = _stored(bundles.join(several, "key", "left"), "marked_bundles")
     bundles.sparkSession.sql(f"DROP TABLE {name}")
-    columns = ["key", "windows", "words", "doc", "text_key", "at"]
     alone = marked.where("bundles IS NULL").select("doc", "text_key", "at", "windows")
-    grouped = marked.where(F.col("bundles") <= tree_bundles).select(*columns).repartition("key").sortWithinPartitions("key")
+    grouped = _with_words(beside, marked.where(F.col("bundles") <= tree_bundles)).repartition("key").sortWithinPartitions("key")
     trees = grouped.mapInArrow(_tree_rows, _FIRST_SQL)
     long_prefix = (
-        marked.where(F.col("bundles") > tree_bundles)
-        .select(*columns)
-        .mapInArrow(_window_rows, "prefix binary, doc long, text_key long, at long")
+        _with_words(beside, marked.where(F.col("bundles") > tree_bundles))
+        .mapInArrow(_window_rows, "prefix binary, doc long, text_key long, at int")
         .groupBy("prefix")
         .agg(F.min(F.struct("doc", "text_key", "at")).alias("first"))
         .select("first.*", F.lit(1).alias("windows"))
@@ -286,14 +338,14 @@ def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> DataFr
 # -- removal --------------------------------------------------------------------------------------------------------
 
 
-def covered_words(words: list[bytes], keys: set[int], firsts: list[tuple[int, int]]) -> np.ndarray:
-    """Which words lie in a window that occurs earlier: windows with a repeated anchor but the first ones."""
-    windows = np.zeros(max(len(words) - WINDOW + 1, 0), bool)
-    for _, first, count, _ in _chosen(words, keys):
-        windows[first : first + count] = True
-    for at, count in firsts:
-        windows[at : at + count] = False
-    edges = np.zeros(len(words) + 1, np.int64)
+def covered_words(count: int, bundles: Iterable[tuple[int, int]], firsts: Iterable[tuple[int, int]]) -> np.ndarray:
+    """Which of ``count`` words lie in a window that occurs earlier: the windows of the bundles but the first ones."""
+    windows = np.zeros(max(count - WINDOW + 1, 0), bool)
+    for at, n in bundles:
+        windows[at : at + n] = True
+    for at, n in firsts:
+        windows[at : at + n] = False
+    edges = np.zeros(count + 1, np.int64)
     at = np.flatnonzero(windows)
     np.add.at(edges, at, 1)
     np.add.at(edges, at + WINDOW, -1)
@@ -319,7 +371,7 @@ def _final_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own = (row["doc"], row["text_key"])
                     firsts = [(f["at"], f["windows"]) for f in row["firsts"] or [] if (f["doc"], f["text_key"]) == own]
                     words = words_of(row["text"])
-                    covered = covered_words(words, set(row["keys"]), firsts)
+                    covered = covered_words(len(words), zip(row["starts"], row["windows"]), firsts)
                     removed = int(covered.sum())
                     bounds = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8))).reshape(-1, 2)
                     spans = [{"begin": a, "end": b} for a, b in bounds.tolist()]
@@ -345,7 +397,7 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     beside = _store_beside(rows, repeated_anchors(rows))
     firsts = first_windows(beside, tree_bundles).withColumn("ref", F.xxhash64("doc", "text_key"))
     per_document = firsts.groupBy("ref").agg(F.collect_list(F.struct("doc", "text_key", "at", "windows")).alias("firsts"))
-    joined = beside.join(per_document, "ref", "left").select("doc", "no_id", "text_key", "n_words", "digest", "text", "keys", "firsts")
+    joined = beside.join(per_document, "ref", "left").select("doc", "no_id", "text_key", "n_words", "digest", "text", "starts", "windows", "firsts")
     return joined.mapInArrow(
         _final_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<begin: long, end: long>>"
     )
