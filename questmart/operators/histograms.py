@@ -21,6 +21,24 @@ def most_common(df: DataFrame, keys: list[str], value: Column, name: str) -> Dat
     )
 
 
+def _quantile_picks(quantiles: dict[str, float], median: str | None, among: Column) -> list[Column]:
+    """Aggregates over (v, rank, total) rows, of which only those ``among`` holds for count."""
+
+    def at_rank(position: Column) -> Column:
+        return F.min(F.when(among & (F.col("rank") >= position), F.col("v")))
+
+    picks = [at_rank(F.ceil(F.lit(Decimal(str(p))) * F.col("total"))).alias(name) for name, p in quantiles.items()]
+    if median:
+        low, high = F.floor((F.col("total") + 1) / 2), F.ceil((F.col("total") + 1) / 2)
+        picks.append(((at_rank(low) + at_rank(high)) / 2).cast("double").alias(median))
+    return picks
+
+
+def _ranked(counted: DataFrame, keys: list[str]) -> DataFrame:
+    upto = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("rank", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+
+
 def discrete_quantiles(
     df: DataFrame, keys: list[str], value: Column, quantiles: dict[str, float], median: str | None = None
 ) -> DataFrame:
@@ -28,15 +46,32 @@ def discrete_quantiles(
 
     Works on (key, value) counts: a window per key runs over the distinct values only.
     """
-    counted = value_counts(df, keys, value, "v")
-    upto = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("rank", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+    ranked = _ranked(value_counts(df, keys, value, "v"), keys)
+    return ranked.groupBy(*keys).agg(*_quantile_picks(quantiles, median, F.lit(True)))
 
-    def at_rank(position: Column) -> Column:
-        return F.min(F.when(F.col("rank") >= position, F.col("v")))
 
-    picks = [at_rank(F.ceil(F.lit(Decimal(str(p))) * F.col("total"))).alias(name) for name, p in quantiles.items()]
-    if median:
-        low, high = F.floor((F.col("total") + 1) / 2), F.ceil((F.col("total") + 1) / 2)
-        picks.append(((at_rank(low) + at_rank(high)) / 2).cast("double").alias(median))
-    return ranked.groupBy(*keys).agg(*picks)
+def quantiles_and_modes(
+    df: DataFrame, keys: list[str], value: Column, quantiles: dict[str, float], median: str, modes: dict[str, Column]
+) -> DataFrame:
+    """What ``discrete_quantiles`` of one value and ``most_common`` of several others give, from one read of the rows.
+
+    Each row is taken apart into (measure, number or text) and counted before the shuffle. Modes are texts or whole
+    numbers; numbers are compared as numbers.
+    """
+    kinds = {name: df.select(column.alias("x")).schema["x"].dataType for name, column in modes.items()}
+    is_text = {name: kind.simpleString() == "string" for name, kind in kinds.items()}
+
+    def part(measure: str, number: Column, text: Column) -> Column:
+        return F.struct(F.lit(measure).alias("measure"), number.cast("double").alias("v"), text.cast("string").alias("text"))
+
+    none = F.lit(None)
+    parts = [part(median, value, none)]
+    parts += [part(name, none if is_text[name] else column, column if is_text[name] else none) for name, column in modes.items()]
+    taken_apart = df.select(*keys, F.inline(F.array(*parts))).where(F.coalesce("text", F.col("v").cast("string")).isNotNull())
+    counted = taken_apart.groupBy(*keys, "measure", "v", "text").agg(F.count("*").alias("n"))
+    picks = _quantile_picks(quantiles, median, F.col("measure") == median)
+    for name, kind in kinds.items():
+        own = F.col("text") if is_text[name] else F.col("v").cast(kind)
+        best = F.min(F.when(F.col("measure") == name, F.struct((-F.col("n")).alias("order"), own.alias("value"))))
+        picks.append(best["value"].alias(name))
+    return _ranked(counted, [*keys, "measure"]).groupBy(*keys).agg(*picks)

@@ -11,7 +11,7 @@ from questmart.functions.payload import parsed
 from questmart.operators.activity import daily_actions, daily_players
 from questmart.operators.accounts import event_profile, session_profile, session_bounds
 from questmart.operators.currency import purchases_in_usd
-from questmart.operators.histograms import discrete_quantiles, most_common
+from questmart.operators.histograms import quantiles_and_modes
 from questmart.params import Params
 from questmart.schemas import Bronze
 
@@ -37,12 +37,14 @@ def session_metrics(t: Bronze, params: Params) -> DataFrame:
         F.round(F.sum(c("revenue").cast("decimal(18,6)")), 3).alias("total_ad_rev")
     )
     quantiles = {"p10_ses_dur": 0.10, "p25_ses_dur": 0.25, "p75_ses_dur": 0.75, "p90_ses_dur": 0.90}
+    modes = {
+        "most_common_device": c("device_model"),
+        "most_common_end_reason": c("end_reason"),
+        "peak_hour_of_day": F.hour("session_start"),
+    }
     joined = daily_players(t.sessions)
     for side in (
-        discrete_quantiles(dated, day, c("duration_seconds").cast("double"), quantiles, median="mdn_ses_dur"),
-        most_common(dated, day, c("device_model"), "most_common_device"),
-        most_common(dated, day, c("end_reason"), "most_common_end_reason"),
-        most_common(dated, day, F.hour("session_start"), "peak_hour_of_day"),
+        quantiles_and_modes(dated, day, c("duration_seconds"), quantiles, "mdn_ses_dur", modes),
         daily_actions(t.sessions, t.events),
         paid,
         ads,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from questmart.functions import money, segments
 from questmart.operators.currency import purchases_in_usd
-from questmart.operators.histograms import discrete_quantiles, most_common
+from questmart.operators.histograms import discrete_quantiles, most_common, quantiles_and_modes
 from questmart.params import Params
 from questmart.plans import analytics, gold, series, silver
 from tests.tables import at, bronze, event, frame, sale, session
@@ -53,6 +53,20 @@ def test_quantiles_and_modes(spark):
     assert most_common(tied, ["k"], F.col("x"), "x").first().x == "a"
 
 
+def test_quantiles_and_modes_from_one_read(spark):
+    given = [("k", 10, "b", 9), ("k", 40, "a", 10), ("k", 20, "b", 10), ("k", 30, "a", None), ("n", None, None, None), (None, 5, "", -1)]
+    df = spark.createDataFrame(given, "k STRING, v INT, x STRING, h INT")
+    modes = {"x_mode": F.col("x"), "h_mode": F.col("h")}
+    got = rows(quantiles_and_modes(df, ["k"], F.col("v"), {"q": 0.10, "u": 0.75}, "m", modes), "k")
+    assert tuple(got["k"]) == ("k", 10.0, 30.0, 25.0, "a", 10)
+    assert tuple(got[None]) == (None, 5.0, 5.0, 5.0, "", -1)
+    # Nothing known, no row; numbers are ordered as numbers.
+    assert "n" not in got
+    tied = spark.createDataFrame([("k", 1, "x", 10), ("k", 1, "x", 9)], df.schema)
+    assert quantiles_and_modes(tied, ["k"], F.col("v"), {"q": 0.10}, "m", modes).first().h_mode == 9
+    assert quantiles_and_modes(df.limit(0), ["k"], F.col("v"), {"q": 0.10}, "m", modes).count() == 0
+
+
 def test_rank_of_exact_percentage(spark):
     df = spark.range(1, 701).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v"))
     assert discrete_quantiles(df, ["k"], F.col("v"), {"q": 0.33}).first().q == 231.0

@@ -43,6 +43,13 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
     assert "ReadSchema: struct<account_id:string,session_start:timestamp,app_version:string>" in text
 
 
+def test_session_mart_reads_sessions_three_times(spark, sf_dir):
+    """Players, the shape of the day and the sessions that acted."""
+    t = bronze_from_star(spark, sf_dir)
+    text = plan(silver.session_metrics(t, P))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*session_start", text)) == 3
+
+
 def test_offers_are_read_once(spark, sf_dir):
     t = bronze_from_star(spark, sf_dir)
     assert plan(gold.biz_offer_performance(t, P)).count("FileScan") == 1
