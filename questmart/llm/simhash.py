@@ -22,24 +22,28 @@ MAX_DISTANCE = 2
 BLOCKS = 5
 
 
-def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
-    """64 bits; a bit is set when over half of the shingles' hashes have it. No words: zero.
+def shingles(text: str, shingle_words: int) -> list[bytes]:
+    """Runs of ``shingle_words`` words; of fewer words the only run is all of them. No words: none.
 
     Bytes lower-case A-Z and split at the six blanks only, which is what the built-in byte methods do.
     """
     words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
     if len(words) < shingle_words:
-        shingles = [b" ".join(words)]
-    else:
-        shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(shingle_words)))]
+        return [b" ".join(words)] if words else []
+    return [b" ".join(s) for s in zip(*(words[i:] for i in range(shingle_words)))]
+
+
+def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
+    """64 bits; a bit is set when over half of the shingles' hashes have it. No words: zero."""
+    found = shingles(text, shingle_words)
+    if not found:
+        return 0
     counts, step = np.zeros(64, np.int64), 1 << 16
-    for begin in range(0, len(shingles), step):
-        part = shingles[begin : begin + step]
+    for begin in range(0, len(found), step):
+        part = found[begin : begin + step]
         hashes = np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in part), np.uint64, len(part))
         counts += np.unpackbits(hashes.astype(">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(shingles)).tobytes(), "big")
+    return int.from_bytes(np.packbits(counts * 2 > len(found)).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
