@@ -60,18 +60,27 @@ def packed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(whole.alias("_row"), F.col(id_column).cast("long").alias("_id"), text_key(whole_text(text)).alias("_key"))
 
 
-def keep_documents(docs: DataFrame, chosen: DataFrame, id_column: str, text: str) -> DataFrame:
+def keep_documents(docs: DataFrame, chosen: DataFrame, id_column: str, text: str, also: dict[str, str] | None = None) -> DataFrame:
     """One row of ``docs`` for each (doc_id, text_key) in ``chosen``, in the columns of ``docs``.
 
-    Rows alike in id and text collapse to one before the shuffle, so repeats cannot pile up. Columns of ``chosen`` beside
-    the two follow behind as ``_<name>``.
+    ``also`` names further columns of ``chosen`` that tell rows apart, and the columns of ``docs`` they are compared with.
+    Rows alike in all of these collapse to one before the shuffle, so repeats cannot pile up: a text before null, then the
+    smallest by a hash of the row. Other columns of ``chosen`` follow behind as ``_<name>``.
     """
-    rest = [c for c in chosen.columns if c not in ("doc_id", "text_key")]
-    wanted = chosen.select(
-        F.col("doc_id").alias("_wanted_id"), F.col("text_key").alias("_wanted_key"), *[F.col(c).alias(f"_{c}") for c in rest]
-    )
-    rows = packed(docs, id_column, text).dropDuplicates(["_id", "_key"])
-    match = F.col("_id").eqNullSafe(F.col("_wanted_id")) & (F.col("_key") == F.col("_wanted_key"))
+    also = also or {}
+    rest = [c for c in chosen.columns if c not in ("doc_id", "text_key", *also)]
+    same = {"doc_id": "_id", "text_key": "_key"} | {name: f"_also{i}" for i, name in enumerate(also)}
+    wanted = chosen.select(*[F.col(name).alias(f"_wanted{own}") for name, own in same.items()], *[F.col(c).alias(f"_{c}") for c in rest])
+    rows = packed(docs, id_column, text)
+    rows = rows.select("*", *[F.col("_row").getField(column).alias(same[name]) for name, column in also.items()])
+    # Rows that collapse have the same text, so the hash need not read it.
+    others = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text])
+    order = F.struct(F.col("_row").getField(text).isNull(), F.xxhash64(F.to_json(others)))
+    rows = rows.groupBy(*same.values()).agg(F.min_by("_row", order).alias("_row"))
+    match = F.col("_key") == F.col("_wanted_key")
+    for own in same.values():
+        if own != "_key":
+            match = match & F.col(own).eqNullSafe(F.col(f"_wanted{own}"))
     # Sort-merge at every size: what is wanted grows with the documents.
     return rows.join(wanted.hint("merge"), match).select("_row", *[f"_{c}" for c in rest])
 

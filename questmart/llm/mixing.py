@@ -147,8 +147,8 @@ def _cut(queued: DataFrame, level: float | None, max_repeats: int):
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
-    """The mixed documents, whole rows, each as often as it is taken. Rows alike in id and text share their copies."""
-    id_column, text = how.get("id_column", "doc_id"), how.get("text", "text")
-    chosen = mix_plan(docs, **how).groupBy("doc_id", "text_key").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    rows = keep_documents(docs, chosen, id_column, text)
+    """The mixed documents, whole rows, each as often as it is taken. Rows alike in id, text and source share their copies."""
+    id_column, text, source = how.get("id_column", "doc_id"), how.get("text", "text"), how.get("source", "source")
+    chosen = mix_plan(docs, **how).groupBy("doc_id", "text_key", "source").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = keep_documents(docs, chosen, id_column, text, {"source": source})
     return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).select("_row.*")
