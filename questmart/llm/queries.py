@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from questmart.llm import bpe
 from questmart.llm.chat import format_conversations, summarise
 from questmart.llm.exact_dedup import exact_dedup
+from questmart.llm.infill import fill_in_middle, restored
 from questmart.llm.line_dedup import dedup_lines
 from questmart.llm.mixing import mix_plan
 from questmart.llm.quality import quality_verdicts
 from questmart.llm.sentencepiece import digest_documents
 from questmart.llm.sharding import ShardTree, shard_rows
 from questmart.llm.simhash import near_duplicates
+from questmart.llm.spelling import spelling_variants
 from questmart.llm.substrings import dedup_substrings
 from questmart.llm.warc import round_trip
 
@@ -38,6 +41,13 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_ranks() -> tuple[str, str]:
+    """The rank file, installed at the same place on every machine, and the pattern that splits text for it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 @query
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -202,3 +212,55 @@ ranked AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM ranked
 """
+
+
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest_documents(_table(spark, sf_dir, "documents"), *byte_ranks())
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op12_fill_in_middle"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+drawn AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM texts
+),
+cut AS (
+  SELECT *, least(a, b) AS p, greatest(a, b) AS q,
+         CASE WHEN least(a, b) > 0 THEN left(text, least(a, b)) ELSE '' END AS prefix,
+         substring(text, least(a, b) + 1, greatest(a, b) - least(a, b)) AS middle,
+         substring(text, greatest(a, b) + 1) AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN q - p END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE text END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
