@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from questmart.llm.exact_dedup import keep_one_copy
 from questmart.llm.mixing import mix
-from questmart.llm.near_copies import keep_one_of_similar
 from questmart.llm.quality import keep_good
 from questmart.llm.queries import piece_model
 from questmart.llm.sentencepiece import tokenize_documents
+from questmart.llm.simhash import keep_one_of_each
 from questmart.session import stage
 
 
@@ -27,8 +27,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts that share at least 0.8 of their 5-word shingles."""
-    return keep_one_of_similar(docs)
+    """One document of each component of texts whose SimHash fingerprints, over 3-word shingles, are at most 2 bits apart."""
+    return keep_one_of_each(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
