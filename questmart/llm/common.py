@@ -18,7 +18,8 @@ LAST_ID = (1 << 63) - 1
 
 def session_buckets(spark: SparkSession) -> int:
     """Buckets for a table that lives as long as the run: as many as the session's shuffles have, so they grow with the data
-    it was sized for, and a join with such a table needs no second shuffle."""
+    it was sized for, and a join with such a table needs no second shuffle. Beyond spark.sql.sources.bucketing.maxBuckets
+    (100,000 unless set) shuffle partitions, buckets stop growing with them; raise that setting first."""
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
 
 
@@ -69,20 +70,20 @@ def keep_documents(docs: DataFrame, chosen: DataFrame, id_column: str, text: str
     """
     also = also or {}
     rest = [c for c in chosen.columns if c not in ("doc_id", "text_key", *also)]
-    same = {"doc_id": "_id", "text_key": "_key"} | {name: f"_also{i}" for i, name in enumerate(also)}
-    wanted = chosen.select(*[F.col(name).alias(f"_wanted{own}") for name, own in same.items()], *[F.col(c).alias(f"_{c}") for c in rest])
+    wanted = chosen.select(
+        F.struct(F.col("doc_id").cast("long").alias("a"), F.col("text_key").alias("b"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(also)]).alias("_wanted"),
+        *[F.col(c).alias(f"_{c}") for c in rest],
+    )
     rows = packed(docs, id_column, text)
-    rows = rows.select("*", *[F.col("_row").getField(column).alias(same[name]) for name, column in also.items()])
+    others = [F.col("_row").getField(column).alias(f"c{i}") for i, column in enumerate(also.values())]
+    # Inside a struct null equals null, so one key serves the grouping and the join, and texts are shuffled once.
+    rows = rows.select("_row", F.struct(F.col("_id").alias("a"), F.col("_key").alias("b"), *others).alias("_same"))
     # Rows that collapse have the same text, so the hash need not read it.
-    others = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text])
-    order = F.struct(F.col("_row").getField(text).isNull(), F.xxhash64(F.to_json(others)))
-    rows = rows.groupBy(*same.values()).agg(F.min_by("_row", order).alias("_row"))
-    match = F.col("_key") == F.col("_wanted_key")
-    for own in same.values():
-        if own != "_key":
-            match = match & F.col(own).eqNullSafe(F.col(f"_wanted{own}"))
+    without_text = F.struct(*[F.col("_row").getField(c).alias(c) for c in docs.columns if c != text])
+    order = F.struct(F.col("_row").getField(text).isNull(), F.xxhash64(F.to_json(without_text)))
+    rows = rows.groupBy("_same").agg(F.min_by("_row", order).alias("_row"))
     # Sort-merge at every size: what is wanted grows with the documents.
-    return rows.join(wanted.hint("merge"), match).select("_row", *[f"_{c}" for c in rest])
+    return rows.join(wanted.hint("merge"), F.col("_same") == F.col("_wanted")).select("_row", *[f"_{c}" for c in rest])
 
 
 def running_before(df: DataFrame, groups: list[str], bucket: str, order: list, value: str, out: str) -> DataFrame:
