@@ -82,7 +82,10 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     """Dedup of one table: a new index, bucketed like the session's shuffles, that sees the table as its only batch."""
     spark = docs.sparkSession
     index = DigestIndex(spark, new_stage_path(spark, "digest-index"), buckets or session_buckets(spark))
-    return index.add(docs, id_column, text)
+    rows = index.add(docs, id_column, text)
+    # The rows no longer read the index; dropping its name leaves nothing in the catalog.
+    spark.sql(f"DROP TABLE {index.table}")
+    return rows
 
 
 def keep_one_copy(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,10 +15,11 @@ from __future__ import annotations
 import hashlib
 import itertools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from pyspark.sql.window import Window
 
 from questmart.llm.common import LAST_ID, session_buckets, text_key, whole_text
 from questmart.llm.shipping import ship_package
+from questmart.session import stage
 
 WINDOW = 20
 GRAM = 6
@@ -76,102 +78,88 @@ def words_of(text: str) -> list[bytes]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, salt, ref, n). A key seen more than once in a batch is known to repeat: its rows go their own ways by salt,
-    and one row without ref tells the other batches, so a frequent key never gathers."""
+    """(key, salt, ref, at, windows, n) per bundle. A key seen more than once in a batch is known to repeat: its rows go
+    their own ways by salt, and one row without ref tells the other batches, so a frequent key never gathers."""
     for batch in batches:
-        refs, keys = [], []
-        for ref, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            found = np.unique(anchors(words_of(text.as_py()))[0], return_counts=True)
-            # Twice in one document is a repeat as well.
-            for values, times in ((found[0], 1), (found[0][found[1] > 1], 1)):
-                keys.append(values)
-                refs.append(np.full(len(values) * times, ref, np.int64))
-        if not keys:
+        found = [anchors(words_of(text.as_py())) for text in batch.column(1)]
+        sizes = np.fromiter((len(keys) for keys, _, _ in found), np.int64, len(found))
+        if not sizes.sum():
             continue
-        key, ref = np.concatenate(keys), np.concatenate(refs)
-        unique, back, counts = np.unique(key, return_inverse=True, return_counts=True)
-        sure = counts[back] > 1
-        told = unique[counts > 1]
+        key, at, windows = (np.concatenate([part[i] for part in found]) for i in range(3))
+        ref = np.repeat(batch.column(0).to_numpy(), sizes)
+        order = np.argsort(key)
+        fresh = np.r_[True, key[order][1:] != key[order][:-1]]
+        begins = np.flatnonzero(fresh)
+        counts = np.diff(np.r_[begins, len(key)])
+        sure = np.empty(len(key), bool)
+        sure[order] = np.repeat(counts > 1, counts)
+        told = key[order[begins[counts > 1]]]
+        none = np.zeros(len(told), np.int64)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.r_[key, told]),
-                pa.array(np.r_[np.where(sure, 1 + (ref & 1023), 0), np.zeros(len(told), np.int64)].astype(np.int32)),
-                pa.array(np.r_[ref, np.zeros(len(told), np.int64)], mask=np.r_[np.zeros(len(key), bool), np.ones(len(told), bool)]),
-                pa.array(np.r_[np.where(sure, 2, 1), np.full(len(told), 2)].astype(np.int32)),
+                pa.array(np.r_[np.where(sure, 1 + (ref & 1023), 0), none].astype(np.int32)),
+                pa.array(np.r_[ref, none], mask=np.r_[np.zeros(len(key), bool), np.ones(len(told), bool)]),
+                pa.array(np.r_[at, none].astype(np.int32)),
+                pa.array(np.r_[windows, none].astype(np.int32)),
+                pa.array(np.r_[np.where(sure, 2, 1), none + 2].astype(np.int32)),
             ],
-            ["key", "salt", "ref", "n"],
+            ["key", "salt", "ref", "at", "windows", "n"],
         )
 
 
-def repeated_anchors(docs: DataFrame) -> DataFrame:
-    """(ref, keys): per document the anchors that occur more than once in the table. ``docs``: (ref, text)."""
-    rows = docs.select("ref", "text").mapInArrow(_anchor_rows, "key long, salt int, ref long, n int")
+def repeated_bundles(docs: DataFrame) -> DataFrame:
+    """(ref, keys, starts, windows): per document the bundles whose anchor occurs more than once in the table, in order.
+
+    ``docs``: (ref, text). Rows that repeat make all of their anchors repeat, which costs time and changes nothing.
+    """
+    rows = docs.select("ref", "text").mapInArrow(_anchor_rows, "key long, salt int, ref long, at int, windows int, n int")
     together = Window.partitionBy("key", "salt")
     repeated = rows.withColumn("total", F.sum("n").over(together)).where("total > 1 AND ref IS NOT NULL")
-    return repeated.groupBy("ref").agg(F.collect_set("key").alias("keys"))
+    # A document has at most as many bundles as words, so its list is bounded by its text. Repeated rows give them again.
+    listed = repeated.groupBy("ref").agg(F.array_sort(F.collect_set(F.struct("at", "key", "windows"))).alias("b"))
+    return listed.select("ref", F.col("b.key").alias("keys"), F.col("b.at").alias("starts"), F.col("b.windows").alias("windows"))
 
 
 # -- documents beside their repeated bundles ------------------------------------------------------------------------
 
 
-def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else [], kind))
-
-
 def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents without a repeated anchor are finished here and leave their text behind; the others keep the key, first
-    window and number of windows of each bundle with a repeated anchor."""
-    nothing = np.zeros(0, np.int64)
+    """Counts words. Documents without a repeated anchor are finished here and leave their text behind."""
     for batch in batches:
         for begin in range(0, batch.num_rows, 500):
             part = batch.slice(begin, 500)
-            counts, digests, texts, bundles = [], [], [], []
+            counts, digests = [], []
             for text, keys in zip(part.column("text"), part.column("keys")):
-                text = text.as_py()
-                words, chosen = words_of(text), (nothing, nothing, nothing)
-                if keys.is_valid:
-                    key, first, windows = anchors(words)
-                    repeated = np.isin(key, keys.values.to_numpy())
-                    chosen = key[repeated], first[repeated], windows[repeated]
+                words = words_of(text.as_py())
                 counts.append(len(words))
-                digests.append(None if len(chosen[0]) else hashlib.sha256(b" ".join(words)).hexdigest())
-                texts.append(text if len(chosen[0]) else None)
-                bundles.append(chosen)
-            keys, starts, windows = zip(*bundles)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[part.column(c) for c in ("ref", "doc", "text_key", "no_id")],
-                    pa.array(counts, pa.int64()),
-                    pa.array(digests, pa.string()),
-                    pa.array(texts, pa.string()),
-                    _lists(list(keys), pa.int64()),
-                    _lists(list(starts), pa.int32()),
-                    _lists(list(windows), pa.int32()),
-                ],
-                ["ref", "doc", "text_key", "no_id", "n_words", "digest", "text", "keys", "starts", "windows"],
-            )
+                digests.append(None if keys.is_valid else hashlib.sha256(b" ".join(words)).hexdigest())
+            digest = pa.array(digests, pa.string())
+            text = pc.if_else(digest.is_null(), part.column("text"), pa.scalar(None, part.column("text").type))
+            columns = [pa.array(counts, pa.int64()) if c == "n_words" else digest if c == "digest" else text if c == "text" else part.column(c) for c in BESIDE]
+            yield pa.RecordBatch.from_arrays(columns, list(BESIDE))
 
 
-def _store_beside(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Bucketed by document, so that the later joins need no second shuffle of the texts. ``text`` is null where no bundle
-    has a repeated anchor."""
+BESIDE = {
+    "ref": "long", "doc": "long", "text_key": "long", "no_id": "boolean", "n_words": "long", "digest": "string", "text": "string",
+    "keys": "array<long>", "starts": "array<int>", "windows": "array<int>",
+}
+
+
+def _store_beside(docs: DataFrame, repeated: DataFrame) -> tuple[DataFrame, str]:
+    """The stored table and its name. Bucketed by document, so that the later joins need no second shuffle of the texts.
+    ``text`` is null where no bundle has a repeated anchor."""
     spark, name = docs.sparkSession, f"passages_{uuid.uuid4().hex}"
-    schema = (
-        "ref long, doc long, text_key long, no_id boolean, n_words long, digest string, text string, "
-        "keys array<long>, starts array<int>, windows array<int>"
-    )
     buckets = session_buckets(spark)
     joined = docs.repartition(buckets, "ref").join(repeated.repartition(buckets, "ref"), "ref", "left")
     (
-        joined.select("ref", "doc", "text_key", "no_id", "text", "keys")
-        .mapInArrow(_beside, schema)
+        joined.mapInArrow(_beside, ", ".join(f"{name} {kind}" for name, kind in BESIDE.items()))
         .write.format("parquet")
         .option("compression", "zstd")
         .bucketBy(buckets, "ref")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -312,15 +300,16 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
-def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> DataFrame:
-    """(doc, text_key, at, windows): runs of windows that occur nowhere earlier, of all windows with a repeated anchor."""
+def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> tuple[DataFrame, str]:
+    """(doc, text_key, at, windows): runs of windows that occur nowhere earlier, of all windows with a repeated anchor; and
+    the name of the table it reads, to be dropped when the rows are stored."""
     rows = beside.where("text IS NOT NULL").select("doc", "text_key", "text", "keys", "starts", "windows").mapInArrow(
         _bundle_rows, "key long, h1 long, h2 long, doc long, text_key long, at int, windows int"
     )
     first = F.min(F.struct("doc", "text_key", "at", "windows")).alias("first")
     bundles, name = _stored(rows.groupBy("key", "h1", "h2").agg(first).select("key", "first.*"), "bundles")
     several = bundles.groupBy("key").agg(F.count("*").alias("bundles")).where("bundles > 1")
-    marked, _ = _stored(bundles.join(several, "key", "left"), "marked_bundles")
+    marked, marked_name = _stored(bundles.join(several, "key", "left"), "marked_bundles")
     bundles.sparkSession.sql(f"DROP TABLE {name}")
     alone = marked.where("bundles IS NULL").select("doc", "text_key", "at", "windows")
     grouped = _with_words(beside, marked.where(F.col("bundles") <= tree_bundles)).repartition("key").sortWithinPartitions("key")
@@ -332,53 +321,71 @@ def first_windows(beside: DataFrame, tree_bundles: int = TREE_BUNDLES) -> DataFr
         .agg(F.min(F.struct("doc", "text_key", "at")).alias("first"))
         .select("first.*", F.lit(1).alias("windows"))
     )
-    return alone.unionAll(trees).unionAll(long_prefix)
+    return alone.unionAll(trees).unionAll(long_prefix), marked_name
 
 
 # -- removal --------------------------------------------------------------------------------------------------------
 
 
-def covered_words(count: int, bundles: Iterable[tuple[int, int]], firsts: Iterable[tuple[int, int]]) -> np.ndarray:
+def _runs(count: int, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Which of ``count`` places lie in one of the runs of n places from at."""
+    return np.cumsum(np.bincount(at, minlength=count + 1) - np.bincount(at + n, minlength=count + 1))[:count] > 0
+
+
+def covered_words(count: int, starts: np.ndarray, windows: np.ndarray, first_at: np.ndarray, first_n: np.ndarray) -> np.ndarray:
     """Which of ``count`` words lie in a window that occurs earlier: the windows of the bundles but the first ones."""
-    windows = np.zeros(max(count - WINDOW + 1, 0), bool)
-    for at, n in bundles:
-        windows[at : at + n] = True
-    for at, n in firsts:
-        windows[at : at + n] = False
-    edges = np.zeros(count + 1, np.int64)
-    at = np.flatnonzero(windows)
-    np.add.at(edges, at, 1)
-    np.add.at(edges, at + WINDOW, -1)
-    return np.cumsum(edges[:-1]) > 0
+    places = count - WINDOW + 1
+    if places < 1:
+        return np.zeros(count, bool)
+    at = np.flatnonzero(_runs(places, starts, windows) & ~_runs(places, first_at, first_n))
+    return _runs(count, at, np.full(len(at), WINDOW))
+
+
+_REMOVED = pa.struct([("begin", pa.int64()), ("end", pa.int64())])
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Bounds of each row's list in the values of all lists; a null list is empty."""
+    sizes = pc.fill_null(column.value_lengths(), 0).to_numpy(zero_copy_only=False)
+    return np.r_[0, np.cumsum(sizes, dtype=np.int64)], column.flatten()
 
 
 def _final_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [
-            ("doc_id", pa.int64()),
-            ("n_words", pa.int64()),
-            ("n_removed", pa.int64()),
-            ("kept_sha256", pa.string()),
-            ("removed", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-        ]
-    )
     for batch in batches:
         for begin in range(0, batch.num_rows, 500):
-            out = []
-            for row in batch.slice(begin, 500).to_pylist():
-                removed, spans, digest = 0, [], row["digest"]
-                if digest is None:
-                    own = (row["doc"], row["text_key"])
-                    firsts = [(f["at"], f["windows"]) for f in row["firsts"] or [] if (f["doc"], f["text_key"]) == own]
-                    words = words_of(row["text"])
-                    covered = covered_words(len(words), zip(row["starts"], row["windows"]), firsts)
+            part = batch.slice(begin, 500)
+            doc, key = part.column("doc").to_numpy(), part.column("text_key").to_numpy()
+            bounds, starts = _flat(part.column("starts"))
+            starts, windows = starts.to_numpy(), _flat(part.column("windows"))[1].to_numpy()
+            first_bounds, firsts = _flat(part.column("firsts"))
+            owner = np.repeat(np.arange(part.num_rows), np.diff(first_bounds))
+            # Documents may share a ref by chance: only what names the document itself counts.
+            own = (firsts.field("doc").to_numpy() == doc[owner]) & (firsts.field("text_key").to_numpy() == key[owner])
+            first_at, first_n = firsts.field("at").to_numpy(), firsts.field("windows").to_numpy()
+            counts, digests, edges, sizes = [], part.column("digest").to_pylist(), [], []
+            for i, text in enumerate(part.column("text")):
+                removed = 0
+                if digests[i] is None:
+                    words = words_of(text.as_py())
+                    mine, of = slice(bounds[i], bounds[i + 1]), slice(first_bounds[i], first_bounds[i + 1])
+                    covered = covered_words(len(words), starts[mine], windows[mine], first_at[of][own[of]], first_n[of][own[of]])
                     removed = int(covered.sum())
-                    bounds = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8))).reshape(-1, 2)
-                    spans = [{"begin": a, "end": b} for a, b in bounds.tolist()]
-                    digest = hashlib.sha256(b" ".join(itertools.compress(words, ~covered))).hexdigest()
-                doc_id = None if row["no_id"] else row["doc"]
-                out.append({"doc_id": doc_id, "n_words": row["n_words"], "n_removed": removed, "kept_sha256": digest, "removed": spans})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    kept = words if not removed else list(itertools.compress(words, (~covered).tolist()))
+                    digests[i] = hashlib.sha256(b" ".join(kept)).hexdigest()
+                counts.append(removed)
+                spans = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8))) if removed else np.zeros(0, np.int64)
+                edges.append(spans)
+                sizes.append(len(spans) // 2)
+            spans = np.concatenate(edges).reshape(-1, 2)
+            removed = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)),
+                pa.StructArray.from_arrays([pa.array(spans[:, 0].astype(np.int64)), pa.array(spans[:, 1].astype(np.int64))], fields=list(_REMOVED)),
+            )
+            doc_id = pc.if_else(part.column("no_id"), pa.scalar(None, pa.int64()), part.column("doc"))
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, part.column("n_words"), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), removed],
+                ["doc_id", "n_words", "n_removed", "kept_sha256", "removed"],
+            )
 
 
 def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tree_bundles: int = TREE_BUNDLES) -> DataFrame:
@@ -394,10 +401,17 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     rows = docs.select(
         F.coalesce(own, F.lit(LAST_ID)).alias("doc"), own.isNull().alias("no_id"), text_key(raw).alias("text_key"), raw.alias("text")
     ).withColumn("ref", F.xxhash64("doc", "text_key"))
-    beside = _store_beside(rows, repeated_anchors(rows))
-    firsts = first_windows(beside, tree_bundles).withColumn("ref", F.xxhash64("doc", "text_key"))
+    beside, beside_name = _store_beside(rows, repeated_bundles(rows))
+    firsts, marked_name = first_windows(beside, tree_bundles)
+    firsts = firsts.withColumn("ref", F.xxhash64("doc", "text_key"))
     per_document = firsts.groupBy("ref").agg(F.collect_list(F.struct("doc", "text_key", "at", "windows")).alias("firsts"))
     joined = beside.join(per_document, "ref", "left").select("doc", "no_id", "text_key", "n_words", "digest", "text", "starts", "windows", "firsts")
-    return joined.mapInArrow(
-        _final_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<begin: long, end: long>>"
+    result = stage(
+        joined.mapInArrow(
+            _final_rows, "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<begin: long, end: long>>"
+        ),
+        "substring-verdicts",
     )
+    for name in (beside_name, marked_name):
+        docs.sparkSession.sql(f"DROP TABLE {name}")
+    return result
