@@ -129,14 +129,15 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for begin in range(0, batch.num_rows, 500):
             part = batch.slice(begin, 500)
-            counts, digests = [], []
+            counts, digests, texts = [], [], []
             for text, keys in zip(part.column("text"), part.column("keys")):
-                words = words_of(text.as_py())
+                text = text.as_py()
+                words = words_of(text)
                 counts.append(len(words))
                 digests.append(None if keys.is_valid else hashlib.sha256(b" ".join(words)).hexdigest())
-            digest = pa.array(digests, pa.string())
-            text = pc.if_else(digest.is_null(), part.column("text"), pa.scalar(None, part.column("text").type))
-            columns = [pa.array(counts, pa.int64()) if c == "n_words" else digest if c == "digest" else text if c == "text" else part.column(c) for c in BESIDE]
+                texts.append(text if keys.is_valid else None)
+            made = {"n_words": pa.array(counts, pa.int64()), "digest": pa.array(digests, pa.string()), "text": pa.array(texts, pa.string())}
+            columns = [made[c] if c in made else part.column(c) for c in BESIDE]
             yield pa.RecordBatch.from_arrays(columns, list(BESIDE))
 
 
