@@ -69,6 +69,9 @@ def with_residual(table: DataFrame) -> DataFrame:
 
 
 def hashed_sample(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
-    """At most ``size`` rows, the same ones for the same rows and seed: a top-k by hash, not a full sort."""
-    order = F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns])
+    """At most ``size`` rows, the same ones for the same rows and seed: a top-k by hash, not a full sort. The hash is one
+    that SQL engines share, over the columns as text; numbers go in rounded to whole ones."""
+    whole = {f.name for f in df.schema if f.dataType.simpleString() in ("double", "float") or f.dataType.simpleString().startswith("decimal")}
+    texts = [F.coalesce((F.round(c).cast("bigint") if c in whole else F.col(c)).cast("string"), F.lit("")) for c in df.columns]
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), *texts).cast("binary"))
     return df.withColumn("_order", order).orderBy("_order", *df.columns).limit(size).drop("_order")

@@ -5,15 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from statistics import fmean, pstdev
 
-import pandas as pd
 from pyspark.ml import Model, Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from questmart.learning.features import CATEGORIES, NUMERIC
+from questmart.operators.ordering import assign_dense_ids
 from questmart.session import stage
 
 SEED = 42
@@ -194,44 +194,67 @@ def summary_text(run: Run, k: int = 3) -> str:
     return f"{run.name} on {run.target.reported}: {metric} {run.mean:.4f}, deviation {run.std:.4f} over {len(run.scores)} folds\nstrongest: {strongest}\n"
 
 
-def _shuffled(columns: list[str]):
-    def shuffle(batches):
-        for number, batch in enumerate(batches):
-            for place, column in enumerate(columns):
-                mixed = batch[column].sample(frac=1, random_state=SEED + 1000 * number + place)
-                batch[f"mixed_{column}"] = pd.Series(mixed.to_numpy(), index=batch.index)
-            yield batch
+@dataclass(frozen=True)
+class Fitted:
+    """A model with the encoding of its inputs."""
+
+    model: Model
+    encoding: Model
+    numeric: list[str]
 
-    return shuffle
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.numeric, *CATEGORIES]
 
+    def predict(self, rows: DataFrame, name: str) -> DataFrame:
+        scored = self.model.transform(self.encoding.transform(rows)).withColumnRenamed("prediction", name)
+        return scored.select(*rows.columns, name)
 
-def permutation_attribution(folded: DataFrame, family: str, target: Target, sizes: Sizes = Sizes()) -> DataFrame:
-    """Mean absolute change of the prediction when one input column is shuffled among the rows of an Arrow batch.
 
-    Fold 0 is held out and read whole. Stands in for additive attributions, which MLlib does not offer; the numbers
-    are not comparable with those.
-    """
+def fit_outside_fold(folded: DataFrame, family: str, target: Target, sizes: Sizes = Sizes(), fold: int = 0) -> Fitted:
     numeric = [c for c in NUMERIC if target.column != "target_residual" or c != "success_score_floor"]
-    inputs = [*numeric, *CATEGORIES]
     known = folded.where(F.col(target.column).isNotNull())
     encoding = encoder(numeric).fit(known)
-    model = estimator(family, target, sizes).fit(encoding.transform(known.where(F.col("fold") != 0)))
-    test = known.where(F.col("fold") == 0).select(*inputs)
-    kinds = {f.name: f.dataType.simpleString() for f in test.schema}
-    schema = ", ".join([*[f"{c} {kinds[c]}" for c in inputs], *[f"mixed_{c} {kinds[c]}" for c in inputs]])
-    mixed = test.mapInPandas(_shuffled(inputs), schema)
-
-    def predict(rows: DataFrame, name: str) -> DataFrame:
-        scored = model.transform(encoding.transform(rows)).withColumnRenamed("prediction", name)
-        kept = [c for c in scored.columns if c in inputs or c.startswith(("mixed_", "was", "becomes"))]
-        return scored.select(*kept)
-
-    scored = predict(mixed, "was")
+    model = estimator(family, target, sizes).fit(encoding.transform(known.where(F.col("fold") != fold)))
+    return Fitted(model, encoding, numeric)
+
+
+def row_order(columns: list[str], seed: int) -> Column:
+    """A pseudo-random order of rows that every engine with MD5 shares; rows alike in all columns are alike in it."""
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *values).cast("binary"))
+
+
+def with_donors(rows: DataFrame, columns: list[str], seed: int = SEED) -> DataFrame:
+    """``columns`` and, as ``donor_<column>``, those of another row: a permutation of the whole table, whatever its
+    partitions and batches.
+
+    Rows are numbered in two hash orders; the n-th row of one order takes the n-th of the other. Numbering goes over range
+    partitions, so no task sees the whole table. Rows that are alike are interchangeable in both orders.
+    """
+    numbered = []
+    for place, prefix in enumerate(["", "donor_"]):
+        own = rows.select(*[F.col(c).alias(prefix + c) for c in columns])
+        names = [prefix + c for c in columns]
+        ordered = own.withColumn("_order", row_order(names, seed + place))
+        numbered.append(assign_dense_ids(ordered, ["_order", *names], f"_{place}", "donors").drop("_order"))
+    left, right = numbered
+    return left.join(right.hint("merge"), F.col("_0") == F.col("_1")).drop("_0", "_1")
+
+
+def permutation_attribution(fitted: Fitted, rows: DataFrame) -> DataFrame:
+    """(feature, mean_abs_change): mean absolute change of the prediction when one input takes its donor's value.
+
+    All given rows are read, none sampled. Stands in for additive attributions, which MLlib does not offer; the numbers are
+    not comparable with those. Changes are added as decimals, so partitions do not show in the last digits.
+    """
+    inputs = fitted.inputs
+    scored = fitted.predict(stage(with_donors(rows, inputs), "donors"), "was")
     for column in inputs:
-        swapped = scored.withColumnRenamed(column, "held").withColumnRenamed(f"mixed_{column}", column)
-        moved = model.transform(encoding.transform(swapped)).withColumnRenamed("prediction", f"becomes_{column}")
-        scored = moved.select(
-            *[c for c in scored.columns if c not in (column, f"mixed_{column}")], F.col("held").alias(column), f"becomes_{column}"
-        )
-    changes = scored.agg(*[F.avg(F.abs(F.col("was") - F.col(f"becomes_{c}"))).alias(c) for c in inputs])
-    return changes.unpivot([], inputs, "feature", "mean_abs_change")
+        kept = scored.columns
+        swapped = scored.withColumnRenamed(column, "_held").withColumn(column, F.col(f"donor_{column}"))
+        moved = fitted.predict(swapped, f"becomes_{column}")
+        scored = moved.drop(column).withColumnRenamed("_held", column).select(*kept, f"becomes_{column}")
+    change = {c: F.abs(F.col("was") - F.col(f"becomes_{c}")).cast("decimal(28,12)") for c in inputs}
+    means = scored.agg(*[F.avg(column).cast("double").alias(c) for c, column in change.items()])
+    return means.unpivot([], inputs, "feature", "mean_abs_change")

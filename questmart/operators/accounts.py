@@ -7,24 +7,17 @@ from pyspark.sql import functions as F
 
 from questmart.functions.money import amount, usd
 from questmart.functions.payload import parsed, reason_group
-from questmart.operators.histograms import discrete_quantiles
+from questmart.operators.histograms import narrowed_quantiles
 
 
 def session_bounds(sessions: DataFrame) -> Column:
-    """Lifetime percentiles over accounts as one struct-valued scalar subquery: one row, no join.
-
-    Add it as a column before its fields are used, so that the plan holds the subquery once.
-
-    Both measures go through one histogram of (measure, value) counts, so no task sees one row per account.
-    """
+    """Lifetime percentiles over accounts as one struct of constants, found when the mart is built."""
     per_account = sessions.groupBy("account_id").agg(
         F.count("*").cast("double").alias("sessions"), F.round(F.avg("duration_seconds")).alias("duration")
     )
     measures = ["sessions", "duration"]
-    long = per_account.unpivot([], measures, "measure", "value")
-    cuts = discrete_quantiles(long, ["measure"], F.col("value"), {"p33": 0.33, "p66": 0.66})
-    names = {f"{cut}_{m}": F.max(F.when(F.col("measure") == m, F.col(cut))) for m in measures for cut in ("p33", "p66")}
-    return cuts.agg(F.struct(*[column.alias(name) for name, column in names.items()]).alias("bounds")).scalar()
+    cuts = narrowed_quantiles(per_account, measures, {"p33": 0.33, "p66": 0.66})
+    return F.struct(*[F.lit(cuts[m][cut]).cast("double").alias(f"{cut}_{m}") for m in measures for cut in ("p33", "p66")])
 
 
 def session_profile(sessions: DataFrame) -> DataFrame:

@@ -45,18 +45,19 @@ def bootstrap_bronze(
     external_folder: str | None = None,
     database: str = "bronze",
     mode: str = "replace",
+    multi_line: bool = True,
 ) -> list[str]:
     """Loads the main tables from a CSV folder or from frames (Spark, pandas or rows), then the reference tables (always replaced).
 
-    Without an external folder the built-in exchange rates are stored.
+    ``multi_line``: see ``read_csv_table``. Without an external folder the built-in exchange rates are stored.
     """
     if frames is None:
         if folder is None:
             raise ValueError("give a folder of CSV files or frames")
-        frames = {name: read_csv_table(spark, path, name) for name, path in list_csv_tables(spark, folder).items()}
+        frames = {name: read_csv_table(spark, path, name, multi_line) for name, path in list_csv_tables(spark, folder).items()}
     frames = {name: as_frame(spark, name, rows) for name, rows in frames.items()}
     loaded = load_bronze(spark, frames, database, mode)
     if external_folder is None:
         save_table(exchange_rate(spark), database, "exchange_rate")
         return [*loaded, "exchange_rate"]
-    return [*loaded, *load_csv_tables(spark, database, list_csv_tables(spark, external_folder))]
+    return [*loaded, *load_csv_tables(spark, database, list_csv_tables(spark, external_folder), multi_line=multi_line)]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +21,15 @@ def _mode(mode: str) -> str:
     return MODES[mode]
 
 
-def read_csv_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with header; cells may hold line breaks. Columns are matched by name and cast to the declared schema; an unreadable cell is NULL.
+def read_csv_table(spark: SparkSession, path: str, table: str, multi_line: bool = True) -> DataFrame:
+    """CSV with header. Columns are matched by name and cast to the declared schema; an unreadable cell is NULL.
+
+    With ``multi_line`` cells may hold line breaks, but each file is one task, however large. Without it files are split
+    and read in parallel; use it for large files whose cells have no line breaks.
 
     Columns that the load step fills may be absent. A table without declared schema is read with inferred types.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if table not in SCHEMAS:
         return reader.option("inferSchema", True).csv(path)
     text = reader.csv(path)
@@ -47,10 +52,12 @@ def save_table(df: DataFrame, database: str, table: str, mode: str = "replace",
     (writer.partitionBy(*keys) if keys else writer).saveAsTable(name)
 
 
-def load_csv_tables(spark: SparkSession, database: str, paths: Mapping[str, str], mode: str = "replace") -> list[str]:
+def load_csv_tables(
+    spark: SparkSession, database: str, paths: Mapping[str, str], mode: str = "replace", multi_line: bool = True
+) -> list[str]:
     """Loads one CSV file or folder per table name, in name order."""
     for table in sorted(paths):
-        save_table(read_csv_table(spark, paths[table], table), database, table, mode)
+        save_table(read_csv_table(spark, paths[table], table, multi_line), database, table, mode)
     return sorted(paths)
 
 
@@ -73,14 +80,66 @@ def list_csv_tables(spark: SparkSession, folder: str) -> dict[str, str]:
 
 
 def as_frame(spark: SparkSession, table: str, rows: object) -> DataFrame:
-    """In-memory rows or a pandas frame by the declared schema; columns that the load step fills may be absent."""
+    """In-memory rows or a pandas frame by the declared schema; columns that the load step fills may be absent.
+
+    Rows are dicts (missing keys are NULL) or tuples in the order of the schema. Cells become what their column declares:
+    dicts and lists JSON text, ids text, dates and times as such or read from ISO text, NaN and NaT NULL.
+    """
     if isinstance(rows, DataFrame):
         return rows
-    columns = list(getattr(rows, "columns", []))
-    fields = [f for f in SCHEMAS[table].split(", ") if not columns or f.split(" ", 1)[0] in columns]
-    if columns:
-        rows = rows[[f.split(" ", 1)[0] for f in fields]]
-    return spark.createDataFrame(rows, ", ".join(fields))
+    fields = [f.split(" ", 1) for f in SCHEMAS[table].split(", ")]
+    optional = FILLED_ON_LOAD.get(table)
+    if hasattr(rows, "columns"):
+        rows = [dict(zip(rows.columns, values)) for values in rows.itertuples(index=False, name=None)]
+    rows = list(rows)
+    if rows and isinstance(rows[0], Mapping):
+        present = {name for row in rows for name in row}
+        fields = [(name, kind) for name, kind in fields if name != optional or name in present]
+        cells = [[row.get(name) for name, _ in fields] for row in rows]
+    else:
+        cells = [list(row) for row in rows]
+        if cells and len(cells[0]) == len(fields) - 1:
+            fields = [(name, kind) for name, kind in fields if name != optional]
+    typed = [tuple(cell(value, kind) for value, (_, kind) in zip(row, fields, strict=True)) for row in cells]
+    return spark.createDataFrame(typed, ", ".join(f"{name} {kind}" for name, kind in fields))
+
+
+def _plain(value: object) -> object:
+    """What JSON has no form for: sets as lists, everything else as text, times in ISO form."""
+    if isinstance(value, (set, frozenset)):
+        return sorted(value, key=str)
+    if hasattr(value, "tolist"):
+        return value.tolist()
+    return value.isoformat() if hasattr(value, "isoformat") else str(value)
+
+
+def cell(value: object, kind: str) -> object:
+    """One in-memory value as a column of the declared type holds it."""
+    if value is None or value != value or str(value) in ("NaT", "<NA>"):
+        return None
+    if hasattr(value, "tolist"):
+        # Numbers and arrays of numpy.
+        value = value.tolist()
+    if kind == "STRING":
+        if isinstance(value, str):
+            return value
+        if isinstance(value, (Mapping, list, tuple, set, frozenset)):
+            value = dict(value) if isinstance(value, Mapping) else _plain(value) if isinstance(value, (set, frozenset)) else value
+            return json.dumps(value, ensure_ascii=False, default=_plain)
+        return value.isoformat(" ") if isinstance(value, dt.datetime) else str(value)
+    if kind in ("TIMESTAMP", "DATE"):
+        if isinstance(value, str):
+            value = dt.datetime.fromisoformat(value)
+        if hasattr(value, "to_pydatetime"):
+            value = value.to_pydatetime()
+        if kind == "DATE" and isinstance(value, dt.datetime):
+            return value.date()
+        if kind == "TIMESTAMP" and not isinstance(value, dt.datetime):
+            return dt.datetime(value.year, value.month, value.day)
+        return value
+    if kind == "BOOLEAN":
+        return bool(value)
+    return float(value) if kind == "DOUBLE" else int(value)
 
 
 def load_frames(spark: SparkSession, database: str, frames: Mapping[str, object], mode: str = "replace") -> list[str]:

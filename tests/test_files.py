@@ -1,5 +1,10 @@
 """Files, bronze load, layered run."""
 
+import datetime as dt
+import json
+import uuid
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +115,55 @@ def _empty(folder):
     path = f"{folder}/empty"
     os.makedirs(path)
     return path
+
+
+NESTED = {"offer": "it's", "sold": True, "none": None, "list": [1, {"x": "é"}], "at": dt.datetime(2025, 1, 2, 3, 4, 5), "id": uuid.UUID(int=5)}
+
+
+def _nested_events():
+    base = {"event_type": "business", "event_subtype": "business", "event_date": dt.datetime(2025, 1, 2, 3, 4, 5), "session_id": 4}
+    return [
+        {**base, "account_id": uuid.UUID(int=7), "event_metadata": NESTED},
+        {**base, "account_id": uuid.UUID(int=8), "event_metadata": "plain", "event_date": "2025-01-02 03:04:06"},
+        {**base, "account_id": None, "event_metadata": None, "event_date": None},
+        {**base, "account_id": "x", "event_metadata": [], "session_id": None},
+    ]
+
+
+@pytest.mark.parametrize("kind", ["rows", "pandas"])
+def test_nested_cells_load_as_json(spark, kind):
+    rows = _nested_events()
+    given = rows if kind == "rows" else pd.DataFrame(rows)
+    back = {r.account_id: r for r in files.as_frame(spark, "events", given).collect()}
+    own = back[str(uuid.UUID(int=7))]
+    assert json.loads(own.event_metadata) == {**NESTED, "at": "2025-01-02T03:04:05", "id": str(uuid.UUID(int=5))}
+    assert own.session_id == 4 and own.event_date == dt.datetime(2025, 1, 2, 3, 4, 5)
+    assert back[str(uuid.UUID(int=8))].event_metadata == "plain" and back[str(uuid.UUID(int=8))].event_date.second == 6
+    assert back[None].event_metadata is None and back[None].event_date is None
+    assert back["x"].event_metadata == "[]" and back["x"].session_id is None
+    df = files.as_frame(spark, "events", given)
+    parts = df.where(F.col("account_id") == str(uuid.UUID(int=7))).select(
+        *[F.get_json_object("event_metadata", f"$.{k}") for k in ("offer", "sold", "none", "list[1].x")]
+    )
+    assert tuple(parts.first()) == ("it's", "true", None, "é")
+
+
+def test_frames_with_every_kind_of_cell(spark):
+    ads = pd.DataFrame({"ad_id": [1, 2], "value_per_action": [1, float("nan")], "start_date": [pd.Timestamp("2025-01-01"), pd.NaT], "is_active": [True, None], "ad_length": [30.0, None]})
+    got = [tuple(r) for r in files.as_frame(spark, "hosted_ads", ads).select("ad_id", "value_per_action", "start_date", "is_active", "ad_length", "rewarded").collect()]
+    assert got == [("1", 1.0, dt.date(2025, 1, 1), True, 30, None), ("2", None, None, None, None, None)]
+    assert files.as_frame(spark, "hosted_ads", []).count() == 0
+    campaigns = [{"campaign_id": 1, "associated_ads": [3, 4], "budget": 5}]
+    assert files.as_frame(spark, "campaigns", campaigns).first().associated_ads == "[3, 4]"
+
+
+def test_csv_in_many_tasks(spark, folder):
+    accounts = frame(spark, "accounts", [{"account_id": f"a{i}", "username": f"name {i}"} for i in range(3000)])
+    files.write_one(accounts.coalesce(1), f"{folder}/accounts", "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1_000)
+    whole, split = (files.read_csv_table(spark, f"{folder}/accounts", "accounts", multi_line) for multi_line in (True, False))
+    assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 3
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(split.collect(), key=str) == sorted(whole.collect(), key=str) and split.count() == 3000

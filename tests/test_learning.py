@@ -82,10 +82,53 @@ def test_tables_and_attribution(spark, folded):
     run = study.cross_validate(folded, "Decision Tree", study.TARGETS["regression"], SMALL)
     assert study.metrics_table(spark, [run]).first().metric == "r2"
     assert study.importance_table(spark, [run]).count() == len(run.importances)
-    moved = {r.feature: r.mean_abs_change for r in study.permutation_attribution(folded, "Boosted Trees", study.TARGETS["regression"], SMALL).collect()}
+
+
+def test_attribution_follows_neither_partitions_nor_batches(spark, folded):
+    target = study.TARGETS["regression"]
+    fitted = study.fit_outside_fold(folded, "Boosted Trees", target, SMALL)
+    test = folded.where("fold = 0")
+    found = []
+    for parts, batch in ((3, 1), (7, 10_000)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        rows = study.permutation_attribution(fitted, test.repartition(parts)).collect()
+        found.append({r.feature: r.mean_abs_change for r in rows})
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1]
+    moved = found[0]
+    assert set(moved) == set(fitted.inputs)
     assert max(moved, key=moved.get) == "success_score_floor" and moved["skin"] == 0
 
 
+def test_attribution_against_the_donors_by_hand(spark, folded):
+    """One column swapped in plain Python, scored by the model, against the operator's figure."""
+    fitted = study.fit_outside_fold(folded, "Decision Tree", study.TARGETS["regression"], SMALL)
+    test = folded.where("fold = 0")
+    donors = study.with_donors(test, fitted.inputs).collect()
+    kinds = ", ".join(f"{n} {t}" for n, t in test.select(*fitted.inputs).dtypes)
+    plain = spark.createDataFrame([tuple(r[c] for c in fitted.inputs) for r in donors], kinds)
+    swapped = spark.createDataFrame(
+        [tuple(r["donor_success_score_floor"] if c == "success_score_floor" else r[c] for c in fitted.inputs) for r in donors], kinds
+    )
+    was = [r.p for r in fitted.predict(plain.coalesce(1), "p").collect()]
+    now = [r.p for r in fitted.predict(swapped.coalesce(1), "p").collect()]
+    want = sum(abs(x - y) for x, y in zip(was, now)) / len(was)
+    got = {r.feature: r.mean_abs_change for r in study.permutation_attribution(fitted, test).collect()}
+    assert got["success_score_floor"] == pytest.approx(want, abs=1e-9) and want > 0
+
+
+def test_donors_permute_the_whole_table(spark):
+    rows = spark.createDataFrame([(i % 40, None if i % 9 == 0 else f"s{i % 5}") for i in range(300)], "a INT, b STRING")
+    found = []
+    for parts in (1, 3, 7):
+        got = [tuple(r) for r in study.with_donors(rows.repartition(parts), ["a", "b"]).collect()]
+        assert sorted(map(str, (r[:2] for r in got))) == sorted(map(str, (r[2:] for r in got))) == sorted(str(tuple(r)) for r in rows.collect())
+        found.append(sorted(map(str, got)))
+    assert found[0] == found[1] == found[2]
+    assert sum(r[:2] != r[2:] for r in got) > 250
+    assert study.with_donors(rows.limit(0), ["a", "b"]).count() == 0
+
+
 def test_folds_do_not_follow_the_partitioning(spark):
     table = spark.range(500).selectExpr("id", "id % 7 AS v")
     folds = [{r.id: r.fold for r in study.with_folds(table.repartition(n)).collect()} for n in (2, 5)]

@@ -1,15 +1,20 @@
 """Marts on hand-made rows: the cases where results are easy to get wrong."""
 
+import math
+import random
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from questmart.functions import money, segments
+from questmart.operators import histograms
 from questmart.operators.currency import purchases_in_usd
 from questmart.operators.histograms import discrete_quantiles, most_common, quantiles_and_modes
 from questmart.params import Params
 from questmart.plans import analytics, gold, series, silver
+from questmart.sources.star_tables import bronze_from_star
 from tests.tables import at, bronze, event, frame, sale, session
 
 P = Params()
@@ -350,3 +355,24 @@ def test_equipment_looks_at_the_next_event(spark):
     assert {h: (r.is_attempt_successful, r.total_score, r.stars_gained) for h, r in got.items()} == {
         "h1": (True, "900", "2"), "h3": (False, "100", "0"), "h5": (None, None, "0")
     }
+
+
+@pytest.mark.parametrize("bins", [50, 4096])
+def test_narrowed_quantiles_against_sorting(spark, bins):
+    rng = random.Random(bins)
+    columns = {
+        "whole": [float(rng.randrange(1000)) for _ in range(500)],
+        "same": [7.0] * 500,
+        "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(500)],
+        "holes": [None if i % 3 else float("nan") if i % 2 else float(i) for i in range(500)],
+        "huge": [rng.choice([-1.7e308, 1.7e308, 0.0, 5e-324]) for _ in range(500)],
+        "none": [None] * 500,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} DOUBLE" for c in columns)).repartition(3)
+    wanted = {"p0": 0.0, "p33": 0.33, "p66": 0.66, "p100": 1.0}
+    got = histograms.narrowed_quantiles(df, list(columns), wanted, bins)
+    for name, values in columns.items():
+        known = sorted(v for v in values if v is not None and v == v)
+        for q, p in wanted.items():
+            place = max(math.ceil(Decimal(str(p)) * len(known)), 1) - 1
+            assert got[name][q] == (known[place] if known else None), (name, q)

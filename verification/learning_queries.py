@@ -8,6 +8,7 @@ from questmart.learning import features, study
 from questmart.plans import analytics
 from questmart.session import stage
 from questmart.sources.star_tables import bronze_from_star
+from verification import stored_models
 from verification.mart_queries import EQUIPMENT, P
 from verification.registry import query
 
@@ -53,14 +54,76 @@ def _residual(spark, sf_dir):
     return table.select("success_score_floor", "target_score", residual.alias("target_residual"))
 
 
-@query("learning_sample")
+INPUTS = [*features.NUMERIC, *features.CATEGORIES]
+COLUMNS = [*INPUTS, "target_binary", "target_ordinal", "target_score"]
+
+
+def _hash(seed: int, columns: list[str]) -> str:
+    """The hash order of features.hashed_sample and study.row_order."""
+    whole = {"target_score": "CAST(round(target_score) AS BIGINT)"}
+    texts = ", ".join(f"COALESCE(CAST({whole.get(c, c)} AS VARCHAR), '')" for c in columns)
+    return f"md5(concat_ws('|', '{seed}', {texts}))"
+
+
+@query("learning_sample", f"WITH {TABLE} SELECT * FROM table_rows ORDER BY {_hash(42, COLUMNS)}, {', '.join(COLUMNS)} LIMIT 100", ("events",))
 def _sample(spark, sf_dir):
-    return features.hashed_sample(_table(spark, sf_dir), 1000)
+    return features.hashed_sample(_table(spark, sf_dir), 100)
+
+
+@query(
+    "learning_donors",
+    f"""
+WITH {TABLE},
+a AS (SELECT {', '.join(INPUTS)}, row_number() OVER (ORDER BY {_hash(42, INPUTS)}, {', '.join(INPUTS)}) AS place FROM table_rows),
+b AS (SELECT {', '.join(f'{c} AS donor_{c}' for c in INPUTS)}, row_number() OVER (ORDER BY {_hash(43, INPUTS)}, {', '.join(INPUTS)}) AS place FROM table_rows)
+SELECT {', '.join(INPUTS)}, {', '.join(f'donor_{c}' for c in INPUTS)} FROM a JOIN b USING (place)""",
+    ("events",),
+)
+def _donors(spark, sf_dir):
+    return study.with_donors(_table(spark, sf_dir), INPUTS)
+
+
+@query(
+    "learning_stored_tree",
+    f"""
+WITH {TABLE}, {stored_models.prediction_ctes('passed', 'table_rows')}
+SELECT success_score_floor, rarity_weapon, base_weapon, skin, target_binary, prediction,
+       CAST(round(CAST((SELECT avg(CAST(s.prediction = f.target_binary AS DOUBLE)) FROM featured f JOIN scored s USING (row_id)) AS DECIMAL(18,6)), 4) AS DOUBLE) AS accuracy
+FROM featured JOIN scored USING (row_id)""",
+    ("events",),
+)
+def _stored_tree(spark, sf_dir):
+    rows = stored_models.predictions(_table(spark, sf_dir), "passed")
+    accuracy = study.score(rows, study.TARGETS["binary"])
+    return rows.select(
+        "success_score_floor", "rarity_weapon", "base_weapon", "skin", "target_binary", "prediction",
+        F.round(F.lit(accuracy).cast("decimal(18,6)"), 4).alias("accuracy"),
+    )
+
+
+@query(
+    "learning_stored_boosting",
+    f"""
+WITH {TABLE}, {stored_models.prediction_ctes('score', 'table_rows')}
+SELECT success_score_floor, base_weapon, base_armor, skin, target_score, CAST(round(CAST(prediction AS DECIMAL(18,6)), 4) AS DOUBLE) AS prediction,
+       CAST(round(CAST((SELECT 1 - sum((f.target_score - s.prediction) * (f.target_score - s.prediction)) / (var_pop(f.target_score) * count(*))
+                        FROM featured f JOIN scored s USING (row_id)) AS DECIMAL(18,6)), 4) AS DOUBLE) AS r2
+FROM featured JOIN scored USING (row_id)""",
+    ("events",),
+)
+def _stored_boosting(spark, sf_dir):
+    rows = stored_models.predictions(_table(spark, sf_dir), "score")
+    r2 = study.score(rows, study.TARGETS["regression"])
+    return rows.select(
+        "success_score_floor", "base_weapon", "base_armor", "skin", "target_score",
+        F.round(F.col("prediction").cast("decimal(18,6)"), 4).alias("prediction"),
+        F.round(F.lit(r2).cast("decimal(18,6)"), 4).alias("r2"),
+    )
 
 
-def _suite(spark, sf_dir, families, targets):
+def _suite(spark, sf_dir, families, targets, sizes=study.Sizes()):
     table = stage(features.with_residual(_table(spark, sf_dir)), "model-table")
-    return study.run_suite(table, families, {name: study.TARGETS[name] for name in targets})
+    return study.run_suite(table, families, {name: study.TARGETS[name] for name in targets}, sizes)
 
 
 @query("learning_tree_metrics")
@@ -71,3 +134,19 @@ def _tree_metrics(spark, sf_dir):
 @query("learning_forest_importance")
 def _forest_importance(spark, sf_dir):
     return study.importance_table(spark, _suite(spark, sf_dir, ["Random Forest"], ["binary"]))
+
+
+# Whole table and all folds; fewer rounds than study.Sizes() has, as each round is a job of its own.
+FEW_ROUNDS = study.Sizes(boost_rounds=5, boost_depth=3)
+
+
+@query("learning_boosted_metrics")
+def _boosted_metrics(spark, sf_dir):
+    return study.metrics_table(spark, _suite(spark, sf_dir, ["Boosted Trees"], ["binary", "regression"], FEW_ROUNDS))
+
+
+@query("learning_attribution")
+def _attribution(spark, sf_dir):
+    folded = study.with_folds(features.with_residual(_table(spark, sf_dir)))
+    fitted = study.fit_outside_fold(folded, "Decision Tree", study.TARGETS["regression"])
+    return study.permutation_attribution(fitted, folded.where(F.col("fold") == 0))
