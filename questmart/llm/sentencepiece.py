@@ -77,6 +77,11 @@ class PieceModel:
                 for part in (left, right):
                     if part in rank and rank[piece] <= rank[part]:
                         alone.add(part)
+        # Neighbouring characters that stand side by side in no piece are never merged, however the text goes on.
+        beside = {(a, b) for piece in self.ids for a, b in zip(piece, piece[1:])}
+        size = len(self.pieces)
+        self.beside = np.sort(np.fromiter(((self.ids.get(a, size + ord(a)) << 32) | self.ids.get(b, size + ord(b)) for a, b in beside), np.int64, len(beside)))
+        self.reach = 2 * max(map(len, self.ids))
         keys = np.fromiter(((a << 32) | b for a, b in pairs), np.int64, len(pairs))
         made = np.fromiter(pairs.values(), np.int64, len(pairs))
         order = np.argsort(keys)
@@ -101,53 +106,70 @@ class PieceModel:
 
         All symbols lie in one flat array. In every round the best pair rank of each word is found by a segmented
         minimum; the word's pairs of that rank are merged from left to right, all words at once, and the array is
-        compacted. Where a merged piece could be taken away by a longer piece at once, only the leftmost is merged in the
-        round. Words without a pair left are set aside.
+        compacted. Words are cut beforehand where no piece can join two characters, so that a long word is many short
+        parts. Where a merged piece could be taken away by a longer piece at once, hits near each other are merged one by
+        one, the leftmost first; hits out of each other's reach go in one round. Parts without a pair left are set aside.
         """
         ids, size = self.ids, len(self.pieces)
         flat = np.fromiter((ids.get(c, size + ord(c)) for word in words for c in word), np.int64)
-        owner = np.repeat(np.arange(len(words)), [len(word) for word in words])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.repeat(np.arange(len(words)), lengths)
+        if not len(flat):
+            return [() for _ in words]
+        keys = (flat[:-1] << 32) | flat[1:]
+        at = np.minimum(np.searchsorted(self.beside, keys), len(self.beside) - 1)
+        cut = np.r_[True, (self.beside[at] != keys) | (word[1:] != word[:-1])]
+        owner, word_of = np.cumsum(cut) - 1, word[cut]
+        place = np.arange(len(flat))
         done: list[tuple[np.ndarray, np.ndarray]] = []
+        rank, made = self._pairs(flat, owner, np.arange(len(flat)))
         while len(flat):
-            rank, made = self._pairs(flat, owner)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(rank, starts)
             segment = np.cumsum(np.r_[False, owner[1:] != owner[:-1]])
             live = (best != NO_RANK)[segment]
             if not live.all():
                 done.append((owner[~live], flat[~live]))
+                place = place[live]
                 flat, owner, rank, made, segment = flat[live], owner[live], rank[live], made[live], best[segment][live]
                 if not len(flat):
                     break
                 hit = rank == segment
             else:
                 hit = rank == best[segment]
-            hit = self._leftmost(hit, made, owner)
+            hit = self._leftmost(hit, made, owner, place)
             at = np.flatnonzero(hit)
             flat[at] = made[at]
             stay = np.ones(len(flat), bool)
             stay[at + 1] = False
-            flat, owner = flat[stay], owner[stay]
-        if not done:
-            return [() for _ in words]
+            flat, owner, place, rank, made = flat[stay], owner[stay], place[stay], rank[stay], made[stay]
+            # Only the pairs on both sides of a merged symbol are new.
+            at = at - np.arange(len(at))
+            fresh = np.r_[at, at[at > 0] - 1]
+            rank[fresh], made[fresh] = self._pairs(flat, owner, fresh)
         owner = np.concatenate([o for o, _ in done])
         symbols = np.concatenate([s for _, s in done])
         order = np.argsort(owner, kind="stable")
-        symbols, bounds = symbols[order].tolist(), np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
+        symbols, bounds = symbols[order].tolist(), np.searchsorted(word_of[owner[order]], np.arange(len(words) + 1)).tolist()
         return [self._finish(symbols[bounds[i] : bounds[i + 1]]) for i in range(len(words))]
 
-    def _pairs(self, flat: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of each symbol with its right neighbour in the same word."""
-        rank, made = np.full(len(flat), NO_RANK, np.int64), np.zeros(len(flat), np.int64)
-        keys = (flat[:-1] << 32) | flat[1:]
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        good = np.flatnonzero((self.pair_keys[at] == keys) & (owner[:-1] == owner[1:]))
-        made[good] = self.pair_made[at[good]]
+    def _pairs(self, flat: np.ndarray, owner: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of the symbols at some places, each with its right neighbour in the same part."""
+        rank, made = np.full(len(at), NO_RANK, np.int64), np.zeros(len(at), np.int64)
+        right = np.minimum(at + 1, len(flat) - 1)
+        keys = (flat[at] << 32) | flat[right]
+        found = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        good = np.flatnonzero((self.pair_keys[found] == keys) & (right > at) & (owner[at] == owner[right]))
+        made[good] = self.pair_made[found[good]]
         rank[good] = self.rank_of[made[good]]
         return rank, made
 
-    def _leftmost(self, hit: np.ndarray, made: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Of neighbouring hits every second one from the left; of pieces merged one by one only the word's first hit."""
+    def _leftmost(self, hit: np.ndarray, made: np.ndarray, owner: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Of neighbouring hits every second one from the left; of pieces merged one by one the first hit of each stretch in
+        which hits are within reach of the one before. ``place``: where in the texts a symbol begins.
+
+        What a merge sets off stays within the longest piece around it, so hits two longest pieces apart cannot meet.
+        """
         at = np.flatnonzero(hit)
         run = np.r_[True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])]
         begin = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
@@ -157,7 +179,8 @@ class PieceModel:
         # If any piece of the word's round is merged one by one, the whole word goes one by one in this round.
         single = np.bitwise_or.reduceat(self.one_by_one[made[at]], np.flatnonzero(first))[word]
         out = np.zeros(len(hit), bool)
-        out[at[np.where(single, first, take)]] = True
+        ahead = first | np.r_[True, place[at[1:]] - place[at[:-1]] > self.reach]
+        out[at[np.where(single, ahead, take)]] = True
         return out
 
     def _finish(self, symbols: list[int]) -> tuple[int, ...]:

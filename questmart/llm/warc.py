@@ -207,8 +207,8 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
 
     Whole records are decoded where they are read. Segments are grouped by the identifier of their first record, ordered
     by segment number, checked against the total length and then decoded; a group holds one record only. Length and digest
-    of responses are those of the decoded payload and must equal the stored digest; those of revisits are the stored ones
-    (payload null), as the payload lies with the record they refer to.
+    of responses are those of the decoded payload and must equal the stored digest. A revisit takes length, digest and, if
+    kept, payload from the decoded response it refers to, by page id and digest; without such a response reading fails.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +246,28 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
         F.get(F.collect_list("payload"), F.lit(0)).alias("payload"),
         F.collect_list(F.when(F.col("segment").isNotNull(), F.struct("segment", "block"))).alias("segments"),
     )
-    return grouped.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    rows = grouped.mapInArrow(join, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    # Stored, so that archives are read once and a response with very many revisits meets plain tables and can be split.
+    return _with_referred(stage(rows, "records"), names)
+
+
+def _with_referred(rows: DataFrame, names: list[str]) -> DataFrame:
+    revisits = rows.where("record_type = 'revisit'")
+    # Rows that repeat a page are several responses with one payload.
+    responses = rows.where("record_type = 'response'").groupBy(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_digest")).agg(
+        F.min("payload_bytes").alias("_bytes"), F.min("payload").alias("_payload")
+    )
+    found = revisits.join(responses.hint("merge"), (F.col("refers_to") == F.col("_id")) & (F.col("payload_digest") == F.col("_digest")), "left")
+    missing = F.concat(F.lit("no response with this payload for page "), F.col("page_id").cast("string"), F.lit(", which refers to "), F.col("refers_to").cast("string"))
+    filled = found.select(
+        "page_id",
+        F.when(F.col("_id").isNull(), F.raise_error(missing).cast("long")).otherwise(F.col("_bytes")).alias("payload_bytes"),
+        F.col("_digest").alias("payload_digest"),
+        "record_type",
+        "refers_to",
+        F.col("_payload").alias("payload"),
+    )
+    return rows.where("record_type = 'response'").select(*names).unionByName(filled)
 
 
 def _measured(payload: bytes, digest: str | None, keep_payload: bool) -> dict:

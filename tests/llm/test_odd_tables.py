@@ -266,7 +266,49 @@ def test_warc(spark):
         assert (r.payload_bytes, r.payload_digest) == (len(html), hashlib.sha1(html).hexdigest())
         expected = ("revisit", 3) if r.page_id in (1, 2, None) else ("response", None)
         assert (r.record_type, r.refers_to) == expected
-        assert r.payload is None if r.record_type == "revisit" else bytes(r.payload) == html
+        # A revisit's payload is that of the response it refers to.
+        assert bytes(r.payload) == html
+
+
+def _rewritten(spark, old, new, change):
+    """The archives under ``old`` with each record's lines changed, under ``new``."""
+    import gzip
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(old).collect()
+    text = "".join(gzip.decompress(f.content).decode() for f in files)
+    records = [r for r in text.split("WARC/1.1\r\n") if r.strip()]
+    kept = ["WARC/1.1\r\n" + r for r in map(change, records) if r is not None]
+    spark.createDataFrame([("".join(kept).rstrip("\n"),)], "value string").coalesce(1).write.option("compression", "gzip").option("lineSep", "\n").text(new)
+
+
+def test_revisits_are_read_from_their_response(spark):
+    body = "<html>" + "copied page " * 200
+    pages = spark.createDataFrame([(i, f"u{i}", body) for i in range(1, 5)] + [(9, "u9", "other")], "page_id long, url string, html string")
+    path = new_stage_path(spark, "warc-whole")
+    warc.write_archives(pages, path)
+    rows = {r.page_id: r for r in warc.read_archives(spark, path).collect()}
+    assert rows[4].record_type == "response" and all(rows[i].refers_to == 4 for i in (1, 2, 3))
+    assert all(bytes(rows[i].payload).decode() == body and rows[i].payload_bytes == len(body) for i in range(1, 5))
+
+    def without_response(record):
+        return None if "X-Page-ID: 4\r\n" in record else record
+
+    def told_length(record):
+        # What a revisit says about itself does not count.
+        return record.replace(f"X-Payload-Length: {len(body)}\r\n", "X-Payload-Length: 5\r\n")
+
+    def other_payload(record):
+        digest = hashlib.sha1(body.encode()).hexdigest()
+        return record.replace(digest, "0" * 40) if "revisit\r\n" in record.split("WARC-Record-ID")[0] else record
+
+    for change, good in ((lambda r: r, True), (told_length, True), (without_response, False), (other_payload, False)):
+        changed = new_stage_path(spark, "warc-changed")
+        _rewritten(spark, path, changed, change)
+        if good:
+            assert {r.page_id: r.payload_bytes for r in warc.read_archives(spark, changed).collect()} == {i: r.payload_bytes for i, r in rows.items()}
+        else:
+            with pytest.raises(Exception, match="no response with this payload"):
+                warc.read_archives(spark, changed).collect()
 
 
 def test_warc_rejects_damage():

@@ -80,6 +80,34 @@ def test_sentencepiece_against_the_library(spark, sf_dir, documents):
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows} == want
 
 
+@pytest.mark.parametrize("kind", ["letters", "base64", "joined words", "one letter", "two letters", "accents"])
+def test_sentencepiece_on_a_long_text_without_spaces(kind, documents):
+    """A megabyte in one word, in time near linear; ids equal the library's."""
+    import random
+    import time
+
+    import sentencepiece
+
+    from questmart.llm.sentencepiece import PieceModel
+
+    rng = random.Random(4)
+    size = 1_000_000
+    text = {
+        "letters": lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=size)),
+        "base64": lambda: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=size)),
+        "joined words": lambda: "".join(WORD.findall(" ".join(t for _, t in documents) * 4))[:size],
+        "one letter": lambda: "a" * 50_000,
+        "two letters": lambda: "ab" * 50_000,
+        "accents": lambda: "".join(rng.choices("éèàçüñab中文😀", k=100_000)),
+    }[kind]()
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    began = time.time()
+    ids = PieceModel(queries.piece_model()).encode(text)
+    took = time.time() - began
+    assert ids == library.encode(text, add_eos=True)
+    assert took < 60
+
+
 def spark_hash(*words):
     """Hash of several texts as Spark makes it: each one's hash seeds the next."""
     seed = 42
