@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from questmart.functions.money import usd_at_event
 from questmart.functions.payload import purchases
 from questmart.params import Params
+from questmart.session import stage
 
 
 def experiment_sessions(sessions: DataFrame, params: Params) -> DataFrame:
@@ -34,8 +35,9 @@ def running_revenue(sales: DataFrame) -> DataFrame:
     """Revenue of a group up to and including each day; all sales of a day share the value.
 
     The window runs over days, not sales. The day table holds at most one row per calendar day and group, so it is
-    safe to broadcast to the sales.
+    safe to broadcast to the sales. The sales are stored first, as they are read twice: for their days and for themselves.
     """
+    sales = stage(sales, "sales")
     daily = sales.groupBy("group_type", "session_date").agg(F.sum("cost_usd").alias("day_revenue"))
     upto = Window.partitionBy("group_type").orderBy("session_date").rowsBetween(Window.unboundedPreceding, 0)
     running = daily.select("group_type", "session_date", F.sum("day_revenue").over(upto).alias("cumulative_revenue"))

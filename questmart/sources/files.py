@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +42,32 @@ def read_csv_table(spark: SparkSession, path: str, table: str, multi_line: bool
 
 
 def save_table(df: DataFrame, database: str, table: str, mode: str = "replace", partition_by: Iterable[str] = ()) -> None:
-    """Writes a managed parquet table; appends match columns by name."""
+    """Writes a managed parquet table; appends match columns by name.
+
+    A table that is replaced stays readable until the new one is whole: that is written beside it and then takes its name. A
+    failed write leaves the old table as it was and nothing beside it.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{table}"
     if _mode(mode) == "append" and spark.catalog.tableExists(name):
         df = df.select(*spark.table(name).columns)
-    writer = df.write.mode(_mode(mode)).format("parquet")
+    writer = df.write.format("parquet")
     keys = list(partition_by)
-    (writer.partitionBy(*keys) if keys else writer).saveAsTable(name)
+    writer = writer.partitionBy(*keys) if keys else writer
+    if not (mode == "replace" and spark.catalog.tableExists(name)):
+        writer.mode(_mode(mode)).saveAsTable(name)
+        return
+    mark = uuid.uuid4().hex
+    beside, old = f"{name}__new_{mark}", f"{name}__old_{mark}"
+    try:
+        writer.saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {old}")
 
 
 def load_csv_tables(

@@ -167,3 +167,18 @@ def test_csv_in_many_tasks(spark, folder):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
     spark.conf.unset("spark.sql.files.openCostInBytes")
     assert sorted(split.collect(), key=str) == sorted(whole.collect(), key=str) and split.count() == 3000
+
+
+def test_a_failed_replacement_leaves_the_old_table(spark):
+    good = spark.range(10).withColumn("day", F.col("id") % 3)
+    files.save_table(good, "swapped", "t", partition_by=["day"])
+    broken = spark.range(10).withColumn("day", F.when(F.col("id") == 7, F.raise_error(F.lit("task fails")).cast("long")).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="task fails"):
+        files.save_table(broken, "swapped", "t")
+    assert spark.table("swapped.t").count() == 10 and spark.table("swapped.t").where("day = 1").count() == 3
+    # A table may be replaced by what is read from itself, with other columns too.
+    files.save_table(spark.table("swapped.t").where("id < 4").withColumn("x", F.lit(1)), "swapped", "t")
+    assert sorted(tuple(r) for r in spark.table("swapped.t").select("id", "x").collect()) == [(i, 1) for i in range(4)]
+    files.save_table(spark.createDataFrame([(9, 5, 2)], "id LONG, x INT, day LONG"), "swapped", "t", "append")
+    assert spark.table("swapped.t").count() == 5
+    assert [t.name for t in spark.catalog.listTables("swapped") if not t.isTemporary] == ["t"]

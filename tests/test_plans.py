@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from verification import registry
+from questmart.operators import adviews
 from questmart.operators.currency import purchases_in_usd
 from questmart.params import Params
 from questmart.plans import analytics, gold, silver
@@ -62,3 +63,15 @@ def test_account_mart_reads_events_once(spark, sf_dir):
     t = bronze_from_star(spark, sf_dir)
     text = plan(silver.accounts_extended(t, P))
     assert len(re.findall(r"FileScan parquet \[[^\]]*event_metadata", text)) == 1
+
+
+@pytest.mark.parametrize("name", ["ab_test_daily_revenue", "paid_ad_views"])
+def test_what_is_used_twice_is_stored_first(spark, sf_dir, name):
+    """Payloads are parsed once: the plan of the result no longer reads events."""
+    t = bronze_from_star(spark, sf_dir)
+    if name == "paid_ad_views":
+        text = plan(adviews.paid_views(t.events, t.hosted_ads))
+    else:
+        accounts = spark.createDataFrame([], "account_id STRING, acquisition_segment STRING")
+        text = plan(analytics.ab_test_daily_revenue(t, accounts, P))
+    assert "event_metadata" not in text
