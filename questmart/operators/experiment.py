@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from questmart.functions.money import usd_at_event
 from questmart.functions.payload import purchases
 from questmart.params import Params
+from questmart.schemas import since
 from questmart.session import stage
 
 
@@ -17,10 +18,8 @@ def experiment_sessions(sessions: DataFrame, params: Params) -> DataFrame:
     group = F.when(F.col("app_version") == params.test_version, "test").when(
         F.col("app_version") == params.control_version, "control"
     )
-    return sessions.where(
-        (F.col("session_start") >= F.lit(params.ab_start).cast("timestamp"))
-        & F.col("app_version").isin(params.test_version, params.control_version)
-    ).select("session_id", "account_id", group.alias("group_type"), F.to_date("session_start").alias("session_date"))
+    started = since(sessions, "session_start", F.lit(params.ab_start))
+    return started.where(F.col("app_version").isin(params.test_version, params.control_version)).select("session_id", "account_id", group.alias("group_type"), F.to_date("session_start").alias("session_date"))
 
 
 def event_rate_purchases(events: DataFrame) -> DataFrame:

@@ -10,15 +10,15 @@ from questmart.functions.payload import parsed
 from questmart.operators.experiment import account_outcomes, event_rate_purchases, experiment_sessions, running_revenue
 from questmart.operators.ordering import with_next
 from questmart.params import Params
-from questmart.schemas import Bronze
+from questmart.schemas import Bronze, since
 
 c = F.col
 
 
 def ab_test_daily_accounts(t: Bronze, params: Params) -> DataFrame:
     """Sessions and distinct accounts per day and version since the start of the test."""
-    since = t.sessions.where(c("session_start") >= F.lit(params.ab_start).cast("timestamp"))
-    per_account = since.groupBy(F.to_date("session_start").alias("session_date"), "account_id").agg(
+    started = since(t.sessions, "session_start", F.lit(params.ab_start))
+    per_account = started.groupBy(F.to_date("session_start").alias("session_date"), "account_id").agg(
         F.count_if(c("app_version") == params.control_version).alias("control"),
         F.count_if(c("app_version") == params.test_version).alias("test"),
     )

@@ -1,4 +1,4 @@
-"""Layered runs: every mart is built from stored tables and stored in one write; the first failure stops the run."""
+"""Layered runs: every mart is built from stored tables and stored, sorted, in one write; the first failure stops the run."""
 
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ class Mart:
     layer: str
     name: str
     build: Callable[[Bronze, Params, SparkSession], DataFrame]
+    order: list[str]
 
 
 def _from_bronze(build: Callable[[Bronze, Params], DataFrame]):
@@ -32,20 +33,20 @@ def _with_accounts(build: Callable[[Bronze, DataFrame, Params], DataFrame]):
 
 
 MARTS = [
-    Mart("silver", "accounts_extended", _from_bronze(silver.accounts_extended)),
-    Mart("silver", "hosted_ads_act_detailed", _from_bronze(silver.hosted_ads_act_detailed)),
-    Mart("silver", "session_metrics", _from_bronze(silver.session_metrics)),
-    Mart("gold", "acquisition_daily", _from_bronze(gold.acquisition_daily)),
-    Mart("gold", "biz_offer_performance", _from_bronze(gold.biz_offer_performance)),
-    Mart("gold", "cohort_churn", _with_accounts(gold.cohort_churn)),
-    Mart("gold", "hosted_ad_metrics", _from_bronze(gold.hosted_ad_metrics)),
-    Mart("gold", "level_progression", _from_bronze(gold.level_progression)),
-    Mart("gold", "marketing_ad_metrics", _from_bronze(gold.marketing_ad_metrics)),
-    Mart("gold", "shop_offer_performance", _from_bronze(gold.shop_offer_performance)),
-    Mart("analytics", "ab_test_daily_accounts", _from_bronze(analytics.ab_test_daily_accounts)),
-    Mart("analytics", "ab_test_daily_revenue", _with_accounts(analytics.ab_test_daily_revenue)),
-    Mart("analytics", "ab_test_eda", _with_accounts(analytics.ab_test_eda)),
-    Mart("analytics", "equipment_contribution_eda", _from_bronze(analytics.equipment_contribution_eda)),
+    Mart("silver", "accounts_extended", _from_bronze(silver.accounts_extended), ["account_id"]),
+    Mart("silver", "hosted_ads_act_detailed", _from_bronze(silver.hosted_ads_act_detailed), ["interaction_time", "interaction_id"]),
+    Mart("silver", "session_metrics", _from_bronze(silver.session_metrics), ["session_day"]),
+    Mart("gold", "acquisition_daily", _from_bronze(gold.acquisition_daily), ["date", "referral_source", "campaign_name", "ad_name", "search_ad_keyword"]),
+    Mart("gold", "biz_offer_performance", _from_bronze(gold.biz_offer_performance), ["offer_id", "event_date", "reward_category"]),
+    Mart("gold", "cohort_churn", _with_accounts(gold.cohort_churn), ["signup_day", "referral_source", "campaign_name", "ad_name"]),
+    Mart("gold", "hosted_ad_metrics", _from_bronze(gold.hosted_ad_metrics), ["ad_id"]),
+    Mart("gold", "level_progression", _from_bronze(gold.level_progression), ["level_id"]),
+    Mart("gold", "marketing_ad_metrics", _from_bronze(gold.marketing_ad_metrics), ["campaign_name", "ad_name"]),
+    Mart("gold", "shop_offer_performance", _from_bronze(gold.shop_offer_performance), ["offer_id", "event_date"]),
+    Mart("analytics", "ab_test_daily_accounts", _from_bronze(analytics.ab_test_daily_accounts), ["session_date"]),
+    Mart("analytics", "ab_test_daily_revenue", _with_accounts(analytics.ab_test_daily_revenue), ["session_date", "group_type", "acquisition_segment", "session_id"]),
+    Mart("analytics", "ab_test_eda", _with_accounts(analytics.ab_test_eda), ["account_id", "group_type"]),
+    Mart("analytics", "equipment_contribution_eda", _from_bronze(analytics.equipment_contribution_eda), ["event_date", "level_id"]),
 ]
 LAYERS = ["silver", "gold", "analytics"]
 
@@ -59,7 +60,7 @@ def run_layer(spark: SparkSession, layer: str, params: Params = Params(), bronze
     tables = Bronze.from_catalog(spark, bronze)
     counts = {}
     for mart in (m for m in MARTS if m.layer == layer):
-        save_table(mart.build(tables, params, spark), layer, mart.name)
+        save_table(mart.build(tables, params, spark), layer, mart.name, order=mart.order)
         counts[mart.name] = spark.table(f"{layer}.{mart.name}").count()
     return counts
 

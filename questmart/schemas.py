@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SCHEMAS = {
     "accounts": (
@@ -53,6 +54,17 @@ FILLED_ON_LOAD = {
     "hosted_ad_interactions": "interaction_id",
 }
 
+# Day folders of the stored facts, by the time column they are derived from.
+DAY_COLUMNS = {"session_start": "session_day", "event_date": "event_day"}
+
+
+def since(rows: DataFrame, time: str, start: Column) -> DataFrame:
+    """Rows from ``start`` (a date) on. A table stored by day leaves the folders of earlier days unread."""
+    wanted = F.col(time) >= start.cast("timestamp")
+    if DAY_COLUMNS[time] in rows.columns:
+        wanted = wanted & (F.col(DAY_COLUMNS[time]) >= start)
+    return rows.where(wanted)
+
 
 @dataclass(frozen=True)
 class Bronze:

@@ -7,13 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questmart.schemas import FILLED_ON_LOAD
+from questmart.schemas import DAY_COLUMNS, FILLED_ON_LOAD
 from questmart.sources.files import as_frame, list_csv_tables, load_csv_tables, normalize, read_csv_table, save_table
 from questmart.sources.health import FILLS
 from questmart.sources.rates import exchange_rate
 
-# Marts filter events by type, so types become directories.
-PARTITIONED_BY = {"events": ["event_type"]}
+# Marts filter events by type and facts by day, so types and days become directories; files follow time and id inside.
+PARTITIONED_BY = {"events": ["event_type", "event_day"], "sessions": ["session_day"]}
+ORDERED_BY = {"events": ["event_date", "event_id"], "sessions": ["session_start", "session_id"], "hosted_ad_interactions": ["interaction_time", "interaction_id"]}
 
 
 def _highest_id(spark: SparkSession, database: str, table: str, mode: str) -> int:
@@ -23,6 +24,14 @@ def _highest_id(spark: SparkSession, database: str, table: str, mode: str) -> in
     return spark.table(name).agg(F.max(column)).first()[0] or 0
 
 
+def with_day(df: DataFrame, table: str) -> DataFrame:
+    """The table with the day its folders are named by; a missing time has a folder of its own."""
+    for time, day in DAY_COLUMNS.items():
+        if day in PARTITIONED_BY.get(table, ()):
+            df = df.withColumn(day, F.to_date(time))
+    return df
+
+
 def load_bronze(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -34,7 +43,7 @@ def load_bronze(
         df = normalize(tables[name])
         if name in FILLS:
             df = FILLS[name](df, after=_highest_id(spark, database, name, mode))
-        save_table(df, database, name, mode, PARTITIONED_BY.get(name, ()))
+        save_table(with_day(df, name), database, name, mode, PARTITIONED_BY.get(name, ()), ORDERED_BY.get(name, ()))
     return sorted(tables)
 
 

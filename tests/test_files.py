@@ -85,6 +85,14 @@ def test_layers_report_and_counts(spark, sf_dir, folder):
     assert "Experiment report" in spark.read.text(f"{folder}/ab_test_results_text").first().value
 
 
+def test_marts_are_stored_in_their_order(spark):
+    """Left by the layered run above: files of a mart cover separate ranges, each in order."""
+    for mart in pipeline.MARTS:
+        assert set(mart.order) <= set(spark.table(f"{mart.layer}.{mart.name}").columns)
+    days = [r.session_day for r in spark.table("silver.session_metrics").coalesce(1).collect()]
+    assert days == sorted(days) and len(days) > 1
+
+
 def test_run_stops_at_the_first_failure(spark):
     with pytest.raises(Exception):
         pipeline.run_layer(spark, "silver", bronze="no_such_database")

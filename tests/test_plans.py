@@ -1,8 +1,10 @@
 """Plans a large cluster can carry: no row-pair joins, no unpartitioned windows, pruned scans, small sides broadcast."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from verification import registry
@@ -10,6 +12,8 @@ from questmart.operators import adviews
 from questmart.operators.currency import purchases_in_usd
 from questmart.params import Params
 from questmart.plans import analytics, gold, silver
+from questmart.schemas import since
+from questmart.sources.bronze import load_bronze
 from questmart.sources.star_tables import bronze_from_star
 
 P = Params()
@@ -46,6 +50,36 @@ def test_scans_read_only_what_is_used(spark, sf_dir):
     assert "ReadSchema: struct<account_id:string,session_start:timestamp,app_version:string>" in text
 
 
+def _loaded_by_day(spark, sf_dir, database):
+    star = bronze_from_star(spark, sf_dir)
+    load_bronze(spark, {"sessions": star.sessions, "events": star.events}, database)
+    return SimpleNamespace(sessions=spark.table(f"{database}.sessions"), events=spark.table(f"{database}.events"))
+
+
+def test_experiment_reads_only_the_folders_of_its_days(spark, sf_dir):
+    t = _loaded_by_day(spark, sf_dir, "plan_days")
+    accounts = spark.createDataFrame([], "account_id STRING, acquisition_segment STRING, current_country STRING")
+    text = plan(analytics.ab_test_eda(t, accounts, P))
+    assert re.search(rf"PartitionFilters: \[[^\]]*session_day#\d+ >= {P.ab_start}", text)
+    started = since(t.sessions, "session_start", F.lit(P.ab_start))
+    read = {r.f for r in started.select(F.input_file_name().alias("f")).distinct().collect()}
+    days = {re.search(r"session_day=([^/]*)", f)[1] for f in t.sessions.inputFiles()}
+    assert min(days) < str(P.ab_start)
+    assert {re.search(r"session_day=([^/]*)", f)[1] for f in read} == {d for d in days if d >= str(P.ab_start)}
+
+
+@pytest.mark.parametrize("table, order", [("sessions", ["session_start", "session_id"]), ("events", ["event_date", "event_id"])])
+def test_facts_lie_sorted_in_few_files(spark, sf_dir, table, order):
+    facts = getattr(_loaded_by_day(spark, sf_dir, f"plan_sorted_{table}"), table)
+    keys = [c for c in facts.columns if c.endswith("_day") or c == "event_type"]
+    folders = facts.select(*keys).distinct().count()
+    # Ranges cut a folder at most once per task.
+    assert folders <= len(facts.inputFiles()) <= folders + 4
+    for path in facts.inputFiles()[:20]:
+        rows = [tuple(r) for r in spark.read.parquet(path).select(*order).coalesce(1).collect()]
+        assert rows == sorted(rows)
+
+
 def test_session_mart_reads_sessions_three_times(spark, sf_dir):
     """Players, the shape of the day and the sessions that acted."""
     t = bronze_from_star(spark, sf_dir)

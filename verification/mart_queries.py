@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from types import SimpleNamespace
+
 from questmart.functions.catalog import SERIES_OFFERS
 from questmart.operators.cohorts import DAY_OFFSETS
 from questmart.params import Params
 from questmart.plans import analytics, gold, series, silver
+from questmart.sources.bronze import load_bronze
 from questmart.sources.star_tables import bronze_from_star
 from verification.registry import query
 from verification.sql_parts import SPENDING, exact_ratio, percent, ratio, text
@@ -452,6 +456,15 @@ def _ab_test_eda(spark, sf_dir):
     return analytics.ab_test_eda(t, silver.accounts_extended(t, P), P)
 
 
+@query("ab_test_eda_from_day_folders", f"WITH {EDA} SELECT * FROM eda", ACCOUNT_ROLES)
+def _ab_test_eda_from_day_folders(spark, sf_dir):
+    """The same mart over facts that the bronze load stored by day."""
+    star, database = bronze_from_star(spark, sf_dir), f"days_{uuid.uuid4().hex}"
+    load_bronze(spark, {"sessions": star.sessions, "events": star.events}, database)
+    t = SimpleNamespace(sessions=spark.table(f"{database}.sessions"), events=spark.table(f"{database}.events"))
+    return analytics.ab_test_eda(t, silver.accounts_extended(star, P), P)
+
+
 EQUIPMENT = """
 stepped AS (
     SELECT *, lead(event_subtype) OVER w AS next_subtype, lead(event_metadata) OVER w AS next_doc
