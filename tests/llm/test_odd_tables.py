@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from questmart.llm import chat, sentencepiece, substrings, warc
 from questmart.llm.components import smallest_reachable
-from questmart.llm.exact_dedup import DigestIndex, exact_dedup, keep_one_copy
+from questmart.llm.exact_dedup import DigestIndex, digest_rows, exact_dedup, keep_one_copy, length_ranges
 from questmart.llm.line_dedup import LineRuns, dedup_lines
 from questmart.llm.mixing import mix, mix_plan
 from questmart.llm.quality import keep_good, quality_verdicts
@@ -89,6 +89,46 @@ def test_digest_index_lasts(spark):
     assert got == {1: (5, False), 2: (2, True), 3: (2, False)}
 
 
+@pytest.fixture(scope="module")
+def spaced(spark):
+    """Groups whose copies differ in blanks only, so that they fall into different ranges of length."""
+    rows = [(100 - i, " " * (i % 7) + "x" * (5 + i % 11) + " " * (i % 4)) for i in range(100)] + [(7, "x" * 5), (None, "x" * 6)]
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+
+
+def test_later_batches_lose_their_copies_to_the_index(spark, spaced):
+    index = DigestIndex(spark, new_stage_path(spark, "index"), 4)
+    rows = digest_rows(spaced, "doc_id", "text")
+    parts = length_ranges(rows, 4)
+    assert len(parts) == 4 and sum(rows.where(part).count() for part in parts) == rows.count() == 102
+    seen, lost = set(), []
+    for part in parts:
+        batch, groups = index.append(rows.where(part))
+        found = {bytes(r.digest) for r in groups.collect()}
+        stored = {bytes(r.digest) for r in spark.table(index.table).where(F.col("batch") == batch).collect()}
+        assert stored == found - seen
+        lost.append(len(found & seen))
+        seen |= found
+    assert lost[0] == 0 and sum(lost) > 10
+    assert spark.table(index.table).count() == len(seen) == 11
+
+
+@pytest.mark.parametrize("batches", [1, 2, 3, 40])
+def test_batches_do_not_show_in_the_result(spaced, batches):
+    texts = [(r.doc_id, r.text) for r in spaced.collect()]
+    best = {}
+    for doc, text in texts:
+        order = (-len(text), doc is None, doc or 0)
+        best[text.strip()] = min(best.get(text.strip(), (order, doc)), (order, doc), key=lambda found: found[0])
+    sizes = {}
+    for _, text in texts:
+        sizes[text.strip()] = sizes.get(text.strip(), 0) + 1
+    want = sorted((str(doc), best[text.strip()][1], sizes[text.strip()]) for doc, text in texts)
+    rows = exact_dedup(spaced, batches=batches).collect()
+    assert sorted((str(r.doc_id), r.keep_id, r.group_size) for r in rows) == want
+    assert sum(r.kept for r in rows) == len(best)
+
+
 def test_line_dedup(odd):
     rows = {(r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in dedup_lines(odd).collect()}
     assert (7, 4, 0, ROWS[8][1]) in rows and (8, 1, 1, "") in rows and (3, 1, 0, "") in rows

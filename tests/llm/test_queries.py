@@ -1,7 +1,9 @@
 """The opN queries against their SQL or a brute-force version, on the whole given tables."""
 
 import hashlib
+import math
 import re
+import struct
 from collections import Counter
 
 import duckdb
@@ -11,6 +13,7 @@ import xxhash
 import corpus_pipeline
 from questmart.llm import queries
 from questmart.llm.quality import BUCKETS, MIN_WORDS, SMOOTHING, THRESHOLD
+from questmart.llm.sharding import ShardTree
 from verification.compare import compare, duckdb_connection
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -161,8 +164,23 @@ def test_sharding_law(spark, sf_dir, documents):
     assert 0 < sum(r.grown_shard == 40 for r in rows) < len(rows) / 10
 
 
+def test_sharding_placement(spark, sf_dir):
+    """The weighted draws of region, rack and shard in plain Python, for every row."""
+    def place(nodes, doc):
+        def draw(node):
+            h = xxhash.xxh64_intdigest(node.name.encode(), seed=42)
+            bits = xxhash.xxh64_intdigest(struct.pack("<q", doc), seed=h) >> 11
+            return math.log((bits + 0.5) / 2**53) / node.weight
+
+        best = max(nodes, key=draw)
+        return place(best.children, doc) if best.children else best.shard
+
+    tree = ShardTree.regular(regions=2, racks=5, shards=4)
+    for r in queries.QUERIES["op8_shard_documents"](spark, sf_dir).collect():
+        assert r.shard == place(tree.regions, r.doc_id) and r.grown_shard == place(tree.grown().regions, r.doc_id)
+
+
 def test_sharding_is_even_and_moves_little(spark):
-    from questmart.llm.sharding import ShardTree
     from pyspark.sql import functions as F
 
     tree = ShardTree.regular(2, 5, 4)
