@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from statistics import fmean, pstdev
 
-from pyspark.ml import Model, Pipeline
+from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,6 @@ TARGETS = {
 }
 FAMILIES = ["Decision Tree", "Random Forest", "Boosted Trees"]
 METRICS_SCHEMA = "model STRING, target STRING, metric STRING, mean DOUBLE, std DOUBLE, n_splits INT, n_samples BIGINT"
-IMPORTANCE_SCHEMA = "model STRING, target STRING, feature STRING, importance DOUBLE"
 
 
 def estimator(family: str, target: Target, sizes: Sizes):
@@ -75,29 +75,74 @@ def estimator(family: str, target: Target, sizes: Sizes):
     return OneVsRest(classifier=GBTClassifier(**boost, **common), labelCol=target.column, featuresCol="features")
 
 
-def encoder(numeric: list[str]) -> Pipeline:
-    indexes = [f"{c}_index" for c in CATEGORIES]
-    vectors = [f"{c}_vector" for c in CATEGORIES]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=CATEGORIES, outputCols=indexes, handleInvalid="keep", stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=False),
-            VectorAssembler(inputCols=[*numeric, *vectors], outputCol="features"),
-        ]
-    )
-
+@dataclass(frozen=True)
+class Encoding:
+    """Inputs of a model as one vector: the numbers, then a place per category of each column and one for unseen values.
 
-def feature_names(encoding: Model, numeric: list[str]) -> list[str]:
-    """Names in vector order; the last place of a category is the indexer's slot for unseen values."""
-    labels = encoding.stages[0].labelsArray
-    return [*numeric, *[f"{c}_{label}" for c, known in zip(CATEGORIES, labels) for label in [*known, "unseen"]]]
+    ``categories`` is a stored table (column, category, index), numbered in the order of the texts. It is joined to the rows,
+    so a column may have any number of categories: only their number per column reaches the driver. NULL is unseen.
+    """
 
+    categories: DataFrame
+    sizes: dict[str, int]
+    numeric: list[str]
 
-def importances(model: Model, size: int) -> list[float]:
+    @staticmethod
+    def fit(rows: DataFrame, numeric: list[str]) -> "Encoding":
+        cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in CATEGORIES]
+        found = rows.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("category").isNotNull()).distinct()
+        numbered = assign_dense_ids(found, ["column", "category"], "number", "categories")
+        # One row per column.
+        firsts = numbered.groupBy("column").agg(F.min("number").alias("first"))
+        table = stage(
+            numbered.join(F.broadcast(firsts), "column").select("column", "category", (F.col("number") - F.col("first")).alias("index")),
+            "category-table",
+        )
+        counts = {row["column"]: row["count"] for row in table.groupBy("column").count().collect()}
+        return Encoding(table, {c: counts.get(c, 0) for c in CATEGORIES}, numeric)
+
+    def indexed(self, rows: DataFrame, prefix: str = "") -> DataFrame:
+        """Adds ``<prefix><column>_index`` for the columns ``<prefix><column>``."""
+        for column, size in self.sizes.items():
+            own = self.categories.where(F.col("column") == column).select(F.col("category").alias("_category"), F.col("index").alias("_index"))
+            met = rows.join(own, F.col(prefix + column) == F.col("_category"), "left")
+            index = F.coalesce("_index", F.lit(size)).cast("double")
+            rows = met.withColumn(f"{prefix}{column}_index", index).drop("_category", "_index")
+        return rows
+
+    def assembled(self, rows: DataFrame) -> DataFrame:
+        """Adds ``features`` to rows that have their indexes."""
+        indexes, vectors = [f"{c}_index" for c in CATEGORIES], [f"{c}_vector" for c in CATEGORIES]
+        # The encoder learns the width of each vector from the largest index, which is that of unseen values.
+        widest = rows.sparkSession.createDataFrame([tuple(float(self.sizes[c]) for c in CATEGORIES)], indexes)
+        one_hot = OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=False).fit(widest)
+        assembler = VectorAssembler(inputCols=[*self.numeric, *vectors], outputCol="features")
+        return assembler.transform(one_hot.transform(rows)).drop(*vectors)
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return self.assembled(self.indexed(rows))
+
+    def names(self) -> DataFrame:
+        """(place, feature): the name of every place of the vector."""
+        start, offset, known = len(self.numeric), F.lit(None), list(enumerate(self.numeric))
+        for column, size in self.sizes.items():
+            offset = F.when(F.col("column") == column, F.lit(start)).otherwise(offset)
+            known.append((start + size, f"{column}_unseen"))
+            start += size + 1
+        listed = self.categories.select((offset + F.col("index")).cast("bigint").alias("place"), F.concat_ws("_", "column", "category").alias("feature"))
+        return listed.unionByName(self.categories.sparkSession.createDataFrame(known, "place BIGINT, feature STRING"))
+
+
+def importances(model: Model) -> dict[int, float]:
+    """Importance by place of the vector; only places that a node of the model splits by."""
     if hasattr(model, "featureImportances"):
-        return [float(v) for v in model.featureImportances.toArray()]
-    per_class = [importances(m, size) for m in model.models]
-    return [fmean(values) for values in zip(*per_class)]
+        found = model.featureImportances
+        return {int(place): float(value) for place, value in zip(found.indices, found.values)}
+    return averaged([importances(m) for m in model.models])
+
+
+def averaged(parts: list[dict[int, float]]) -> dict[int, float]:
+    return {place: sum(part.get(place, 0.0) for part in parts) / len(parts) for place in set().union(*parts)}
 
 
 def score(predicted: DataFrame, target: Target) -> float:
@@ -124,6 +169,7 @@ class Run:
     scores: list[float]
     importances: dict[str, float]
     n_samples: int
+    encoding: Encoding
 
     @property
     def mean(self) -> float:
@@ -142,8 +188,7 @@ def cross_validate(folded: DataFrame, family: str, target: Target, sizes: Sizes
     """One model per fold; the encoding is fitted once on all rows, as the category set is not learned from targets."""
     numeric = [c for c in NUMERIC if target.column != "target_residual" or c != "success_score_floor"]
     known = folded.where(F.col(target.column).isNotNull())
-    encoding = encoder(numeric).fit(known)
-    names = feature_names(encoding, numeric)
+    encoding = Encoding.fit(known, numeric)
     rows = encoding.transform(known).select("features", target.column, "fold").persist()
     try:
         scores, gains = [], []
@@ -151,12 +196,15 @@ def cross_validate(folded: DataFrame, family: str, target: Target, sizes: Sizes
             test = rows.where(F.col("fold") == fold)
             model = estimator(family, target, sizes).fit(rows.where(F.col("fold") != fold))
             scores.append(score(model.transform(test), target))
-            gains.append(importances(model, len(names)))
+            gains.append(importances(model))
         total = rows.count()
     finally:
         rows.unpersist()
-    averaged = {name: fmean(values) for name, values in zip(names, zip(*gains))}
-    return Run(f"{family} - {target.approach}", target, scores, averaged, total)
+    mean = averaged(gains)
+    # No more names than the models have nodes.
+    used = {row.place: row.feature for row in encoding.names().where(F.col("place").isin(list(mean))).collect()}
+    gained = dict.fromkeys(numeric, 0.0) | {used[place]: value for place, value in mean.items()}
+    return Run(f"{family} - {target.approach}", target, scores, gained, total, encoding)
 
 
 def run_suite(table: DataFrame, families: list[str] = FAMILIES, targets: dict[str, Target] = TARGETS, sizes: Sizes = Sizes()) -> list[Run]:
@@ -171,8 +219,16 @@ def metrics_table(spark: SparkSession, runs: list[Run]) -> DataFrame:
 
 
 def importance_table(spark: SparkSession, runs: list[Run]) -> DataFrame:
-    rows = [(r.name, r.target.reported, feature, value) for r in runs for feature, value in r.ranked]
-    return spark.createDataFrame(rows, IMPORTANCE_SCHEMA)
+    """Every place of every model's vector; zero where no node splits by it."""
+    tables = []
+    for run in runs:
+        gained = spark.createDataFrame(run.ranked, "feature STRING, gained DOUBLE")
+        tables.append(
+            run.encoding.names().join(gained, "feature", "left").select(
+                F.lit(run.name).alias("model"), F.lit(run.target.reported).alias("target"), "feature", F.coalesce("gained", F.lit(0.0)).alias("importance")
+            )
+        )
+    return reduce(DataFrame.unionByName, tables).orderBy("model", "target", F.desc("importance"), "feature")
 
 
 def summary_row(run: Run) -> dict[str, object]:
@@ -199,24 +255,26 @@ class Fitted:
     """A model with the encoding of its inputs."""
 
     model: Model
-    encoding: Model
-    numeric: list[str]
+    encoding: Encoding
 
     @property
     def inputs(self) -> list[str]:
-        return [*self.numeric, *CATEGORIES]
+        return [*self.encoding.numeric, *CATEGORIES]
 
     def predict(self, rows: DataFrame, name: str) -> DataFrame:
-        scored = self.model.transform(self.encoding.transform(rows)).withColumnRenamed("prediction", name)
+        return self.predict_indexed(self.encoding.indexed(rows), name).select(*rows.columns, name)
+
+    def predict_indexed(self, rows: DataFrame, name: str) -> DataFrame:
+        scored = self.model.transform(self.encoding.assembled(rows)).withColumnRenamed("prediction", name)
         return scored.select(*rows.columns, name)
 
 
 def fit_outside_fold(folded: DataFrame, family: str, target: Target, sizes: Sizes = Sizes(), fold: int = 0) -> Fitted:
     numeric = [c for c in NUMERIC if target.column != "target_residual" or c != "success_score_floor"]
     known = folded.where(F.col(target.column).isNotNull())
-    encoding = encoder(numeric).fit(known)
+    encoding = Encoding.fit(known, numeric)
     model = estimator(family, target, sizes).fit(encoding.transform(known.where(F.col("fold") != fold)))
-    return Fitted(model, encoding, numeric)
+    return Fitted(model, encoding)
 
 
 def row_order(columns: list[str], seed: int) -> Column:
@@ -249,12 +307,14 @@ def permutation_attribution(fitted: Fitted, rows: DataFrame) -> DataFrame:
     not comparable with those. Changes are added as decimals, so partitions do not show in the last digits.
     """
     inputs = fitted.inputs
-    scored = fitted.predict(stage(with_donors(rows, inputs), "donors"), "was")
+    # Rows and donors meet the category table once; swapping then exchanges indexes.
+    both = fitted.encoding.indexed(fitted.encoding.indexed(with_donors(rows, inputs)), "donor_")
+    scored = fitted.predict_indexed(stage(both, "donors"), "was")
     for column in inputs:
-        kept = scored.columns
-        swapped = scored.withColumnRenamed(column, "_held").withColumn(column, F.col(f"donor_{column}"))
-        moved = fitted.predict(swapped, f"becomes_{column}")
-        scored = moved.drop(column).withColumnRenamed("_held", column).select(*kept, f"becomes_{column}")
+        kept, fed = scored.columns, f"{column}_index" if column in CATEGORIES else column
+        swapped = scored.withColumnRenamed(fed, "_held").withColumn(fed, F.col(f"donor_{fed}"))
+        moved = fitted.predict_indexed(swapped, f"becomes_{column}")
+        scored = moved.drop(fed).withColumnRenamed("_held", fed).select(*kept, f"becomes_{column}")
     change = {c: F.abs(F.col("was") - F.col(f"becomes_{c}")).cast("decimal(28,12)") for c in inputs}
     means = scored.agg(*[F.avg(column).cast("double").alias(c) for c, column in change.items()])
     return means.unpivot([], inputs, "feature", "mean_abs_change")

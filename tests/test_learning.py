@@ -81,7 +81,29 @@ def test_multiclass_boosting(folded):
 def test_tables_and_attribution(spark, folded):
     run = study.cross_validate(folded, "Decision Tree", study.TARGETS["regression"], SMALL)
     assert study.metrics_table(spark, [run]).first().metric == "r2"
-    assert study.importance_table(spark, [run]).count() == len(run.importances)
+    listed = {r.feature: r.importance for r in study.importance_table(spark, [run]).collect()}
+    assert {f: v for f, v in listed.items() if v} == {f: v for f, v in run.importances.items() if v}
+    # 4 numbers, the categories of each column and a place for unseen values.
+    assert len(listed) == 4 + sum(folded.select(c).distinct().count() + 1 for c in features.CATEGORIES)
+
+
+def test_categories_are_numbered_by_column_and_joined(spark):
+    def row(weapon, armor):
+        return (800, 1, 2, 3, weapon, armor, "x", None)
+
+    kinds = ", ".join([*[f"{c} INT" for c in features.NUMERIC], *[f"{c} STRING" for c in features.CATEGORIES]])
+    rows = spark.createDataFrame([row(f"w{i % 30:02d}", "b" if i % 2 else "a") for i in range(300)], kinds).repartition(7)
+    encoding = study.Encoding.fit(rows, features.NUMERIC)
+    assert encoding.sizes == {"base_weapon": 30, "base_armor": 2, "base_held_item": 1, "skin": 0}
+    names = {r.place: r.feature for r in encoding.names().collect()}
+    assert sorted(names) == list(range(4 + 31 + 3 + 2 + 1))
+    new = spark.createDataFrame([row("w07", "b"), row("w99", None)], kinds)
+    found = sorted(tuple(names[int(i)] for i in r.features.indices[4:]) for r in encoding.transform(new).collect())
+    assert found == [
+        ("base_weapon_unseen", "base_armor_unseen", "base_held_item_x", "skin_unseen"),
+        ("base_weapon_w07", "base_armor_b", "base_held_item_x", "skin_unseen"),
+    ]
+    assert study.Encoding.fit(rows.limit(0), features.NUMERIC).sizes == dict.fromkeys(features.CATEGORIES, 0)
 
 
 def test_attribution_follows_neither_partitions_nor_batches(spark, folded):

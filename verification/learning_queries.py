@@ -65,6 +65,25 @@ def _hash(seed: int, columns: list[str]) -> str:
     return f"md5(concat_ws('|', '{seed}', {texts}))"
 
 
+def _numbered(column: str) -> str:
+    return f"(SELECT {column} AS category, row_number() OVER (ORDER BY {column}) - 1 AS index FROM (SELECT DISTINCT {column} FROM table_rows WHERE {column} IS NOT NULL))"
+
+
+@query(
+    "learning_encoded",
+    f"""
+WITH {TABLE}
+SELECT r.*, {', '.join(f'COALESCE(c{i}.index, (SELECT count(DISTINCT {c}) FROM table_rows)) AS {c}_index' for i, c in enumerate(features.CATEGORIES))}
+FROM (SELECT {', '.join(INPUTS)}, target_score FROM table_rows) r
+{' '.join(f'LEFT JOIN {_numbered(c)} c{i} ON c{i}.category = r.{c}' for i, c in enumerate(features.CATEGORIES))}""",
+    ("events",),
+)
+def _encoded(spark, sf_dir):
+    table = _table(spark, sf_dir)
+    rows = study.Encoding.fit(table, features.NUMERIC).indexed(table)
+    return rows.select(*INPUTS, "target_score", *[F.col(f"{c}_index").cast("bigint").alias(f"{c}_index") for c in features.CATEGORIES])
+
+
 @query("learning_sample", f"WITH {TABLE} SELECT * FROM table_rows ORDER BY {_hash(42, COLUMNS)}, {', '.join(COLUMNS)} LIMIT 100", ("events",))
 def _sample(spark, sf_dir):
     return features.hashed_sample(_table(spark, sf_dir), 100)
