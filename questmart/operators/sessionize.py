@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -13,6 +15,28 @@ HOUR_MICROS = 60 * 60 * 1_000_000
 DAY_MICROS = 24 * HOUR_MICROS
 
 
+# Places in time order as one number: a date in microseconds, times ID_CODES, plus the code of a 64-bit id (null: 0).
+ID_CODES = Decimal(2 * 10**19)
+ID_SHIFT = Decimal(2**63 + 1)
+NO_DATE = -(10**18)
+
+
+def time_place(at: str, row_id: str) -> Column:
+    """(at, row_id) as a decimal of the same order, nulls first. Of fixed width, so that a hash aggregate can hold the
+    least or greatest one; over a struct or string the aggregate would sort its rows."""
+    micros = F.coalesce(F.unix_micros(at), F.lit(NO_DATE)).cast("decimal(19,0)")
+    code = F.coalesce(F.col(row_id).cast("decimal(20,0)") + F.lit(ID_SHIFT), F.lit(Decimal(0)))
+    return (micros * F.lit(ID_CODES) + code).cast("decimal(38,0)")
+
+
+def parts_of_place(place: Column) -> tuple[Column, Column]:
+    """The date and the id of a place."""
+    code = F.pmod(place, F.lit(ID_CODES))
+    micros = ((place - code) / F.lit(ID_CODES)).cast("bigint")
+    row_id = F.when(code > 0, (code - F.lit(ID_SHIFT)).cast("bigint"))
+    return F.timestamp_micros(F.nullif(micros, F.lit(NO_DATE).cast("bigint"))), row_id
+
+
 def _subtype(name: str):
     return (F.col("event_type") == "authentication") & (F.col("event_subtype") == name)
 
@@ -39,25 +63,25 @@ def session_rollup(events: DataFrame, accounts: DataFrame) -> DataFrame:
     without logout has neither end nor reason.
     """
     login, logout = _subtype("user_login"), _subtype("user_logout")
-
-    def at_login(name: str):
-        return F.max(F.col(f"doc.{name}"))
-
-    doc = parsed("device_model", "os_version", "app_version", payload=F.when(login, F.col("event_metadata")))
-    last = F.max(F.when(~logout, F.struct("event_date", "event_id", "event_type", "event_subtype")))
-    rolled = (
+    device_columns = ("device_model", "os_version", "app_version")
+    doc = parsed(*device_columns, payload=F.when(login, F.col("event_metadata")))
+    # Strings are keys here, so raw events meet in a hash table; a session has few kinds of events.
+    by_kind = (
         events.where(F.col("session_id").isNotNull())
         .withColumn("doc", doc)
-        .groupBy("session_id", "account_id")
+        .groupBy("session_id", "account_id", "event_type", "event_subtype", *[F.col(f"doc.{c}").alias(c) for c in device_columns])
         .agg(
-            F.min(F.when(login, F.col("event_date"))).alias("session_start"),
-            F.max(F.when(logout, F.col("event_date"))).alias("session_end"),
-            at_login("device_model").alias("device_model"),
-            at_login("os_version").alias("os_version"),
-            at_login("app_version").alias("app_version"),
-            last.alias("last"),
+            F.min("event_date").alias("first"),
+            F.max("event_date").alias("final"),
+            F.max(time_place("event_date", "event_id")).alias("place"),
         )
     )
+    rolled = by_kind.groupBy("session_id", "account_id").agg(
+        F.min(F.when(login, F.col("first"))).alias("session_start"),
+        F.max(F.when(logout, F.col("final"))).alias("session_end"),
+        *[F.max(c).alias(c) for c in device_columns],
+        F.max(F.when(~logout, F.struct("place", "event_type", "event_subtype"))).alias("last"),
+    )
     device = F.lower("device_model")
     reason = F.when(F.col("last.event_type") == "error", F.col("last.event_subtype")).otherwise("player_exit")
     return rolled.join(accounts.select("account_id", F.col("country").alias("region")), "account_id", "left").select(
@@ -75,9 +99,15 @@ def session_rollup(events: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def first_events(events: DataFrame) -> DataFrame:
-    """The earliest event of every account; an aggregate, so partial results meet before the shuffle."""
-    row = F.min(F.struct("event_date", "event_id", "event_type", "event_subtype"))
-    return events.groupBy("account_id").agg(row.alias("first")).select("account_id", "first.*")
+    """The earliest event of every account.
+
+    Found per kind of event first, by a hash aggregate that also runs before the shuffle, then among the few kinds of an
+    account. Null dates and ids come first, equal places go by type and subtype.
+    """
+    by_kind = events.groupBy("account_id", "event_type", "event_subtype").agg(F.min(time_place("event_date", "event_id")).alias("place"))
+    first = by_kind.groupBy("account_id").agg(F.min(F.struct("place", "event_type", "event_subtype")).alias("first"))
+    at, event_id = parts_of_place(F.col("first.place"))
+    return first.select("account_id", at.alias("event_date"), event_id.alias("event_id"), "first.event_type", "first.event_subtype")
 
 
 def recent_offers(purchases: DataFrame) -> DataFrame:

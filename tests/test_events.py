@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from questmart.operators import acquisition, adviews, counters
-from questmart.operators.sessionize import assign_sessions, first_events, recent_offers, session_rollup
+from questmart.operators.sessionize import assign_sessions, first_events, parts_of_place, recent_offers, session_rollup, time_place
 from tests.tables import at, event, frame
 
 
@@ -62,6 +62,18 @@ def test_first_event(spark):
     assert got == {"a": 0, "b": 2, "c": 10, "d": 12}
 
 
+def test_places_keep_the_order_of_date_and_id(spark):
+    dates = [None, "1955-03-01 00:00:00.000001", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2025-01-01 10:00:00.5", "9999-12-31 00:00:00"]
+    ids = [None, -(2**63), -1, 0, 7, 2**63 - 1]
+    rows = [(n, d, i) for n, (d, i) in enumerate((d, i) for d in dates for i in ids)]
+    df = spark.createDataFrame(random.Random(5).sample(rows, len(rows)), "n INT, d STRING, i BIGINT").withColumn("d", F.col("d").cast("timestamp"))
+    at, row_id = parts_of_place(F.col("place"))
+    placed = df.withColumn("place", time_place("d", "i")).withColumn("same", at.eqNullSafe(F.col("d")) & row_id.eqNullSafe(F.col("i")))
+    got = placed.orderBy("place").collect()
+    assert [r.n for r in got] == list(range(len(rows))) and all(r.same for r in got)
+    assert len({r.place for r in got}) == len(rows)
+
+
 def test_recent_offers_window(spark):
     buys = [
         (1, "a", "2025-01-01 23:59:59.500000", "x"), (2, "a", "2025-01-02 23:59:59.500000", "y"), (3, "a", "2025-01-02 23:59:59.500001", "x"),

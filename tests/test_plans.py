@@ -99,6 +99,15 @@ def test_account_mart_reads_events_once(spark, sf_dir):
     assert len(re.findall(r"FileScan parquet \[[^\]]*event_metadata", text)) == 1
 
 
+@pytest.mark.parametrize("name", ["first_event_per_account", "session_rollup"])
+def test_raw_events_meet_in_a_hash_table(spark, sf_dir, name):
+    """Aggregates that sort their rows see one row per kind of event."""
+    text = plan(registry.QUERIES[name](spark, sf_dir))
+    sorting = re.findall(r"SortAggregate\(key=\[(.*?)\]", text)
+    assert sorting and not any("event_subtype" in keys for keys in sorting)
+    assert len(re.findall(r"HashAggregate\(keys=\[[^\]]*event_subtype#\d+[^\]]*\], functions=\[(?:partial_)?m", text)) == 2
+
+
 @pytest.mark.parametrize("name", ["ab_test_daily_revenue", "paid_ad_views"])
 def test_what_is_used_twice_is_stored_first(spark, sf_dir, name):
     """Payloads are parsed once: the plan of the result no longer reads events."""
