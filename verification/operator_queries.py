@@ -547,9 +547,7 @@ def _ab_rank_sums(spark, sf_dir):
     return samples.rank_sums(_revenue_sample(spark, sf_dir), "control", "test")
 
 
-@query(
-    "ab_test_statistics",
-    f"""
+_COMPARED = f"""
 WITH {EDA},
 rev AS (SELECT s.day, sum(p.usd_event) FILTER (s.side = 'control') AS control, sum(p.usd_event) FILTER (s.side = 'test') AS test
         FROM trial s JOIN spending p ON p.session_id = s.session_id WHERE p.usd_event IS NOT NULL AND s.side IS NOT NULL GROUP BY ALL),
@@ -576,7 +574,13 @@ rates AS (
   SELECT CAST(count(*) FILTER (group_type = 'control' AND converted) AS DOUBLE) AS x1, CAST(count(*) FILTER (group_type = 'control') AS DOUBLE) AS n1,
          CAST(count(*) FILTER (group_type = 'test' AND converted) AS DOUBLE) AS x2, CAST(count(*) FILTER (group_type = 'test') AS DOUBLE) AS n2 FROM eda),
 shares AS (SELECT *, x1 / n1 AS p1, x2 / n2 AS p2, (x1 + x2) / (n1 + n2) AS p,
-                  1.959963984540054 * sqrt(x1 / n1 * (1 - x1 / n1) / n1 + x2 / n2 * (1 - x2 / n2) / n2) AS half FROM rates)
+                  1.959963984540054 * sqrt(x1 / n1 * (1 - x1 / n1) / n1 + x2 / n2 * (1 - x2 / n2) / n2) AS half FROM rates)"""
+
+
+@query(
+    "ab_test_statistics",
+    f"""
+{_COMPARED}
 SELECT metric, round(ja, 6) AS normality_control, round(jb, 6) AS normality_test,
        round((na + nb - 2) * (na * pow(da - grand, 2) + nb * pow(db - grand, 2)) / nullif((na - 1) * sa + (nb - 1) * sb, 0), 6) AS levene_w,
        round((ma - mb) / sqrt(nullif(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb), 0)), 6) AS student_t,
@@ -593,6 +597,61 @@ def _ab_statistics(spark, sf_dir):
     return build_statistics(*_experiment(spark, sf_dir)).select("metric", *[F.round(name, 6).alias(name) for name in STATISTICS])
 
 
-@query("ab_test_report")
+# Steps of Simpson's rule, by which SQL finds two-sided tails: of the normal, and of Student's t over atan(t / sqrt(dof)).
+# The upper tail of F with one and n degrees of freedom is that of t at its root, that of chi-square with one the normal's.
+_STEPS = 4000
+
+
+@query(
+    "ab_test_report",
+    f"""
+{_COMPARED},
+tied AS (SELECT metric, sum(CAST(t AS DOUBLE) * t * t - t) AS ties FROM (SELECT metric, x, count(*) AS t FROM centred GROUP BY ALL) GROUP BY metric),
+found AS (
+  SELECT pairs.metric, ja, jb, u, na + nb - 2 AS dof,
+         (na + nb - 2) * (na * pow(da - grand, 2) + nb * pow(db - grand, 2)) / nullif((na - 1) * sa + (nb - 1) * sb, 0) AS levene,
+         (ma - mb) / sqrt(nullif(((na - 1) * va + (nb - 1) * vb) / (na + nb - 2) * (1 / na + 1 / nb), 0)) AS student,
+         (ma - mb) / sqrt(nullif(va / na + vb / nb, 0)) AS welch,
+         pow(va / na + vb / nb, 2) / nullif(pow(va / na, 2) / (na - 1) + pow(vb / nb, 2) / (nb - 1), 0) AS welch_dof,
+         (greatest(u, na * nb - u) - na * nb / 2 - 0.5) / sqrt(nullif(na * nb / 12 * (na + nb + 1 - ties / ((na + nb) * (na + nb - 1))), 0)) AS z
+  FROM pairs JOIN tied ON tied.metric = pairs.metric),
+share AS (
+  SELECT (p1 - p2) / nullif(sqrt(p * (1 - p) * (1 / n1 + 1 / n2)), 0) AS z, p2 - p1 - half AS low, p2 - p1 + half AS high,
+         (n1 + n2) * pow(greatest(0, abs(x1 * (n2 - x2) - x2 * (n1 - x1)) - (n1 + n2) / 2), 2) / nullif((x1 + x2) * (n1 + n2 - x1 - x2) * n1 * n2, 0) AS chi2
+  FROM shares),
+asked AS (
+  SELECT metric, 'levene' AS test, sqrt(levene) AS x, dof FROM found
+  UNION ALL SELECT metric, 'student_t', abs(student), dof FROM found
+  UNION ALL SELECT metric, 'welch_t', abs(welch), welch_dof FROM found
+  UNION ALL SELECT metric, 'mann_whitney', CASE WHEN z > 0 THEN z WHEN z <= 0 THEN 0 END, NULL FROM found
+  UNION ALL SELECT 'Conversion Rate', 'prop_z', abs(z), NULL FROM share
+  UNION ALL SELECT 'Conversion Rate', 'chi2', sqrt(chi2), NULL FROM share),
+steps AS (SELECT i, CASE WHEN i IN (0, {_STEPS}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS weight FROM range(0, {_STEPS} + 1) AS r(i)),
+middles AS (
+  SELECT metric, test,
+         CASE WHEN dof IS NULL THEN sqrt(2 / pi()) * x * sum(weight * exp(-pow(x * i / {_STEPS}, 2) / 2))
+              ELSE 2 / sqrt(pi()) * exp(lgamma((dof + 1) / 2) - lgamma(dof / 2)) * atan(x / sqrt(dof))
+                   * sum(weight * pow(cos(atan(x / sqrt(dof)) * i / {_STEPS}), dof - 1)) END / (3 * {_STEPS}) AS middle
+  FROM asked, steps GROUP BY metric, test, x, dof),
+tails AS (SELECT metric, test, CASE WHEN middle > 1 THEN 0 ELSE 1 - middle END AS p FROM middles),
+chosen AS (
+  SELECT found.*, CASE WHEN ja <= 0.05 OR jb <= 0.05 THEN 'mann_whitney' WHEN p > 0.05 THEN 'student_t' ELSE 'welch_t' END AS test_used
+  FROM found JOIN tails ON tails.metric = found.metric AND test = 'levene')
+SELECT chosen.metric, 'continuous' AS domain, test_used,
+       CASE test_used WHEN 'student_t' THEN 'parametric: Student t (equal var)' WHEN 'welch_t' THEN 'parametric: Welch t (unequal var)'
+                      ELSE 'nonparametric: Mann–Whitney U' END AS basis,
+       round(CASE test_used WHEN 'student_t' THEN student WHEN 'welch_t' THEN welch ELSE u END, 6) AS statistic, round(p, 6) AS p_value,
+       CAST(0.05 AS DOUBLE) AS alpha, CASE WHEN p < 0.05 THEN 'Reject H0' ELSE 'Fail to reject H0' END AS decision,
+       CAST(NULL AS VARCHAR) AS ci_compare, CAST(NULL AS VARCHAR) AS ci_method, CAST(NULL AS DOUBLE) AS ci_low, CAST(NULL AS DOUBLE) AS ci_high,
+       CAST(NULL AS DOUBLE) AS chi2_stat, CAST(NULL AS DOUBLE) AS chi2_p_value, CAST(NULL AS INTEGER) AS chi2_dof
+FROM chosen JOIN tails ON tails.metric = chosen.metric AND tails.test = test_used
+UNION ALL
+SELECT 'Conversion Rate', 'proportion', 'two_proportion_z', 'z + chi2', round(z, 6), round(a.p, 6), 0.05,
+       CASE WHEN a.p < 0.05 THEN 'Reject H0' ELSE 'Fail to reject H0' END, 'diff', 'wald', round(low, 6), round(high, 6), round(chi2, 6), round(b.p, 6), 1
+FROM share, tails a, tails b WHERE a.test = 'prop_z' AND b.test = 'chi2'""",
+    ACCOUNT_ROLES,
+)
 def _ab_report(spark, sf_dir):
-    return build_report(*_experiment(spark, sf_dir))
+    report = build_report(*_experiment(spark, sf_dir))
+    doubles = [f.name for f in report.schema if f.dataType.typeName() == "double" and f.name != "alpha"]
+    return report.withColumns({c: F.when(~F.isnan(c), F.round(c, 6)) for c in doubles})
