@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +61,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Folders that a writing task may hold open at once; only rows of folders beyond that are sorted by folder.
+OPEN_FOLDERS = 16
+
+
+@contextmanager
+def open_folders(spark: SparkSession, count: int = OPEN_FOLDERS) -> Iterator[None]:
+    """Inside, a write into few folders streams its rows. Else each task first sorts all its rows by folder, in memory that
+    grows with what the task reads."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

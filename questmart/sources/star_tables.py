@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from questmart.functions.catalog import SERIES_OFFERS
 from questmart.schemas import SCHEMAS
-from questmart.session import new_stage_path
+from questmart.session import new_stage_path, open_folders
 from questmart.sources.rates import USD_RATES, exchange_rate
 
 
@@ -272,7 +272,8 @@ class StarBronze:
                 for table in STAR_TABLES:
                     if f"FROM {table}" in text:
                         text = text.replace(f"FROM {table}", f"FROM {self._view(table)}")
-                self._spark.sql(text).write.partitionBy(*PARTITIONED_BY.get(role, [])).parquet(path)
+                with open_folders(self._spark):
+                    self._spark.sql(text).write.partitionBy(*PARTITIONED_BY.get(role, [])).parquet(path)
                 _stored[key] = path
         return _stored[key]
 
