@@ -67,7 +67,10 @@ def _facts(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
             "account_id",
             "day",
             F.when(business, "offer").when(resource, flow).otherwise("level").alias("kind"),
-            F.when(business, F.col("doc.offer_id")).when(resource, reason_group(F.col("doc.reason"))).alias("value"),
+            F.when(business, F.col("doc.offer_id"))
+            .when(resource, reason_group(F.col("doc.reason")))
+            .otherwise(F.split_part("doc.level_id", F.lit("_"), F.lit(2)))
+            .alias("value"),
             F.when(business, F.col("day").cast("string")).when(resource, F.col("session_id").cast("string")).alias("second"),
             F.when(business, F.col("doc.currency_name")).alias("currency"),
             F.when(business, amount(F.col("doc.cost_amount"))).alias("cost"),
@@ -89,10 +92,16 @@ def _facts(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
 
 
 def fact_totals(events: DataFrame, exchange_rate: DataFrame) -> DataFrame:
-    """Facts added up per (account, kind, value); the hash aggregate runs before the shuffle as well."""
+    """Facts added up per (account, kind, value).
+
+    Most facts are alone in a reading task, so they are dealt out first and added up once: hash tables hold what one of the
+    session's shuffle partitions holds, not all that a task reads. A busy account is spread over its kinds and values.
+    """
+    facts = _facts(events, exchange_rate).select("account_id", "fact.kind", "fact.value", "day", "usd", "amount", "level")
+    tasks = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        _facts(events, exchange_rate)
-        .groupBy("account_id", "fact.kind", "fact.value")
+        facts.repartition(tasks, "account_id", "kind", "value")
+        .groupBy("account_id", "kind", "value")
         .agg(
             F.count("*").alias("n"),
             F.sum("usd").alias("usd"),
