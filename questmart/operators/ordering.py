@@ -47,7 +47,9 @@ def _before_each_part(staged: DataFrame, totals: dict[str, Column]) -> DataFrame
 def assign_dense_ids(
     df: DataFrame, order: list[str], id_column: str, label: str = "ids", after: int = 0
 ) -> DataFrame:
-    """Numbers rows after+1..after+n in the given order. An id that is already set is kept."""
+    """Numbers rows after+1..after+n in the given order. An id that is already set is kept; where all are, nothing is sorted."""
+    if id_column in df.columns and df.where(F.col(id_column).isNull()).isEmpty():
+        return df
     staged = stage_sorted(df, order, label)
     numbered = staged.join(_before_each_part(staged, {"rows": F.count("*")}), "_part")
     number = F.col("_before_rows") + F.col("_pos") + (after + 1)
