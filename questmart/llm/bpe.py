@@ -6,7 +6,8 @@ import base64
 import functools
 import hashlib
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,9 @@ from questmart.llm.shipping import ship_package
 # Pre-tokens in each of the cache's two generations.
 CACHED_TOKENS = 250_000
 # Symbols that share a queue, unless one pre-token alone has more.
-QUEUED_SYMBOLS = 50_000
+QUEUED_SYMBOLS = 1_000_000
+# Waiting positions from which on a bucket is merged by arrays and not one by one.
+ARRAY_POSITIONS = 24
 # Bytes of text that are worked on at a time, unless one text alone has more.
 PART_BYTES = 4_000_000
 NONE = -1
@@ -82,6 +85,34 @@ class RankQueue:
         return positions
 
 
+class TokenStore(dict[str, int]):
+    """Pre-tokens, numbered as they come up, and their ids."""
+
+    def __init__(self) -> None:
+        self.begin = self.length = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def __missing__(self, token: str) -> int:
+        number = self[token] = len(self)
+        return number
+
+    def add(self, length: np.ndarray, ids: np.ndarray, where: np.ndarray) -> None:
+        """The ids of the pre-tokens with the numbers ``where``, one behind the other."""
+        more = len(self) - len(self.begin)
+        if more:
+            self.begin, self.length = (np.r_[a, np.zeros(more, np.int64)] for a in (self.begin, self.length))
+        self.begin[where] = len(self.ids) + np.cumsum(length) - length
+        self.length[where] = length
+        self.ids = np.r_[self.ids, ids.astype(np.int32)]
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of the numbered pre-tokens has, and the ids, one behind the other."""
+        length = self.length[numbers]
+        at = np.repeat(self.begin[numbers] - np.cumsum(length) + length, length)
+        at += np.arange(len(at))
+        return length, self.ids[at]
+
+
 def _probe(pattern: str, characters: str) -> str:
     """The characters that the pattern matches as the public library understands it: its Unicode tables need not be Python's."""
     import tiktoken
@@ -142,46 +173,94 @@ class BytePairModel:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.merges[left * self.size + right] = rank
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        order = np.argsort(keys)
+        self.merge_keys = np.r_[keys[order], np.iinfo(np.int64).max]
+        self.merge_ranks = np.r_[np.fromiter(self.merges.values(), np.int64, len(keys))[order], NONE]
+        # Whether every pair with the token has a higher rank than the token: a merge to it brings up no better pair.
+        self.settled = np.ones(self.size, bool)
+        for side in (self.merge_keys[:-1] // self.size, self.merge_keys[:-1] % self.size):
+            self.settled[side[self.merge_ranks[:-1] < side]] = False
         self.first_pairs = np.array([[ranks.get(bytes([a, b]), NONE) for b in range(256)] for a in range(256)])
         self.patterns = [(re.compile(f"[^\\0-{chr(last)}]"), compiled(pattern, last)) for last in (0xFF, 0xFFFF)]
         self.patterns.append((None, compiled(pattern)))
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.decimal = {rank: str(rank) for rank in self.tokens}
+        self.cache, self.older = TokenStore(), TokenStore()
+        # By id; a decimal ends with a space.
+        self.token_bytes = pa.array(map(self.tokens.get, range(self.size)), pa.large_binary())
+        self.decimal = pa.array([b"%d " % i for i in range(self.size)], pa.large_binary())
 
     def encode_tokens(self, tokens: Sequence[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token: a whole token is its id; else the pair of lowest rank, leftmost of equals, is merged until
-        no pair has a rank.
+        """Ids of each pre-token."""
+        length, ids = self.merge(tokens)
+        ends, flat = np.cumsum(length).tolist(), ids.tolist()
+        return [tuple(flat[begin:end]) for begin, end in zip([0, *ends], ends)]
+
+    def merge(self, tokens: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each pre-token has, and the ids, one behind the other: a whole token is its id; else the pair of
+        lowest rank, leftmost of equals, is merged until no pair has a rank.
 
         The symbols of all pre-tokens are one linked list over their bytes, cut between pre-tokens, with one queue: merges
         of different pre-tokens do not touch, so only their order within one counts. An entry whose pair has been changed
         by a neighbour's merge meanwhile is stale and skipped. A merge takes a few steps, however long the pre-token is.
+        The positions of a large bucket are merged together, those of a small one one by one.
         """
         if not tokens:
-            return []
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         size, merges = self.size, self.merges
+        whole = np.fromiter(map(self.ranks.get, tokens, [NONE] * len(tokens)), np.int64, len(tokens))
         lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         raw = np.frombuffer(b"".join(tokens), np.uint8)
         count = len(raw)
-        pairs = np.full(count, NONE, np.int64)
-        pairs[:-1] = self.first_pairs[raw[:-1], raw[1:]]
         ends = np.cumsum(lengths)
+        owner = np.repeat(np.arange(len(tokens)), lengths)
+        symbols, pairs = self.single[raw], np.full(count, NONE, np.int64)
+        pairs[:-1] = self.first_pairs[raw[:-1], raw[1:]]
         pairs[ends - 1] = NONE
+        # A whole token keeps its first symbol only.
+        pairs[(whole != NONE)[owner]] = symbols[(whole != NONE)[owner]] = NONE
+        symbols[(ends - lengths)[whole != NONE]] = whole[whole != NONE]
+        # Neighbours of the same pre-token; NONE beyond its ends.
+        nexts, lasts = np.arange(1, count + 1), np.arange(-1, count - 1)
+        nexts[ends - 1] = lasts[ends - lengths] = NONE
         queue = RankQueue(size)
         found = np.flatnonzero(pairs != NONE)
-        found = found[np.argsort(pairs[found], kind="stable")]
-        cuts = np.flatnonzero(np.diff(pairs[found])) + 1
-        for positions in np.split(found, cuts) if len(found) else []:
-            queue.push(int(pairs[positions[0]]), positions.tolist())
-        # Neighbours of the same pre-token; NONE beyond its ends.
-        edge = np.zeros(count, bool)
-        edge[ends - 1] = True
-        after = np.where(edge, NONE, np.arange(1, count + 1)).tolist()
-        before = np.where(np.r_[True, edge[:-1]], NONE, np.arange(-1, count - 1)).tolist()
-        symbol, pair = self.single[raw].tolist(), pairs.tolist()
+        self._push(queue, pairs[found], found)
+        # The same arrays, for the steps of one position.
+        symbol, pair, after, before = map(memoryview, (symbols, pairs, nexts, lasts))
         get, push = merges.get, queue.push
         while (rank := queue.lowest()) != NONE:
             waiting = queue.take(rank)
+            if len(waiting) >= ARRAY_POSITIONS:
+                at = np.array(waiting[::-1])
+                at = at[pairs[at] == rank]
+                at = at[np.r_[True, at[1:] != at[:-1]][: len(at)]]
+                settled = self.settled[rank]
+                if settled:
+                    # Every other one of a chain in which each position's right symbol is the next one's left.
+                    place = np.arange(len(at))
+                    chained = np.r_[False, nexts[at[:-1]] == at[1:]][: len(at)]
+                    now = (place - np.maximum.accumulate(np.where(chained, 0, place))) & 1 == 0
+                else:
+                    # A better pair may come up in the pre-token: its other positions wait.
+                    now = np.r_[True, owner[at[1:]] != owner[at[:-1]]][: len(at)]
+                waiting = at[::-1].tolist()
+                if 2 * np.count_nonzero(now) >= max(len(at), ARRAY_POSITIONS):
+                    if not settled and not now.all():
+                        push(rank, at[~now].tolist())
+                    at = at[now]
+                    gone = nexts[at]
+                    right = nexts[gone]
+                    symbols[at], symbols[gone], nexts[at] = rank, NONE, right
+                    pairs[at] = pairs[gone] = NONE
+                    inner = right != NONE
+                    lasts[right[inner]] = at[inner]
+                    left = lasts[at]
+                    near = np.r_[left[left != NONE], at[inner]]
+                    keys = symbols[near] * size + symbols[nexts[near]]
+                    slot = np.searchsorted(self.merge_keys, keys)
+                    made = pairs[near] = np.where(self.merge_keys[slot] == keys, self.merge_ranks[slot], NONE)
+                    self._push(queue, made[made != NONE], near[made != NONE])
+                    continue
             lower = False
             while waiting:
                 at = waiting.pop()
@@ -208,15 +287,19 @@ class BytePairModel:
                     if waiting:
                         push(rank, waiting)
                     break
-        flat = np.array(symbol, np.int64)
-        kept = flat != NONE
-        owner = np.repeat(np.arange(len(tokens)), lengths)[kept]
-        bounds = np.searchsorted(owner, np.arange(len(tokens) + 1)).tolist()
-        ids = flat[kept].tolist()
-        whole = self.ranks.get
-        return [
-            tuple(ids[bounds[i] : bounds[i + 1]]) if (own := whole(token)) is None else (own,) for i, token in enumerate(tokens)
-        ]
+        kept = symbols != NONE
+        return np.bincount(owner[kept], minlength=len(tokens)), symbols[kept]
+
+    @staticmethod
+    def _push(queue: RankQueue, ranks: np.ndarray, positions: np.ndarray) -> None:
+        """Puts every position into the bucket of its rank."""
+        order = np.argsort(ranks, kind="stable")
+        ranks, held = ranks[order], positions[order].tolist()
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        begin = 0
+        for rank, end in zip(ranks[np.r_[0, cuts]].tolist() if held else [], [*cuts.tolist(), len(held)]):
+            queue.push(rank, held[begin:end])
+            begin = end
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern. Texts without rarer characters take the same pattern with smaller classes."""
@@ -225,44 +308,57 @@ class BytePairModel:
                 return pattern.findall(text)
         raise AssertionError("the last pattern takes every text")
 
-    def learn(self, tokens: set[str]) -> None:
-        """Puts the ids of the pre-tokens into the cache. A full cache becomes the older generation, from which pre-tokens
-        that come up again return."""
+    def learn(self, tokens: Iterable[str]) -> np.ndarray:
+        """The numbers of the pre-tokens in the cache, which gets the ids of those it did not hold. A full cache becomes the
+        older generation, from which pre-tokens that come up again return."""
         if len(self.cache) > CACHED_TOKENS:
-            self.cache, self.older = {}, self.cache
+            self.cache, self.older = TokenStore(), self.cache
         cache, older = self.cache, self.older
-        unknown = []
-        for token in tokens:
-            if token not in cache:
-                if (ids := older.get(token)) is not None:
-                    cache[token] = ids
-                else:
-                    unknown.append(token)
-        begin = 0
-        while begin < len(unknown):
-            end, symbols = begin, 0
-            while end < len(unknown) and symbols < QUEUED_SYMBOLS:
-                symbols += len(unknown[end])
-                end += 1
-            part = unknown[begin:end]
-            cache.update(zip(part, self.encode_tokens([token.encode() for token in part])))
-            begin = end
+        known = len(cache)
+        try:
+            numbers = np.fromiter(map(cache.__getitem__, tokens), np.int64)
+            unknown = list(islice(cache, known, None))
+            held = np.fromiter(map(older.get, unknown, [NONE] * len(unknown)), np.int64, len(unknown))
+            cache.add(*older.gather(held[held != NONE]), known + np.flatnonzero(held != NONE))
+            begin, left = 0, np.flatnonzero(held == NONE)
+            raw = [unknown[i].encode() for i in left.tolist()]
+            while begin < len(raw):
+                end, symbols = begin, 0
+                while end < len(raw) and symbols < QUEUED_SYMBOLS:
+                    symbols += len(raw[end])
+                    end += 1
+                cache.add(*self.merge(raw[begin:end]), known + left[begin:end])
+                begin = end
+        except BaseException:
+            # Numbers without ids must not stay.
+            self.cache = TokenStore()
+            raise
+        return numbers
+
+    def encode_flat(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts, one behind the other, and where each text's begin, with the end of the last: each match of
+        the pattern by itself, no special tokens."""
+        split = [self.split(text) for text in texts]
+        numbers = self.learn(chain.from_iterable(split))
+        length, ids = self.cache.gather(numbers)
+        ends = np.r_[0, np.cumsum(length)]
+        return ids, ends[np.r_[0, np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]]
 
     def encode_all(self, texts: Sequence[str]) -> Iterator[list[int]]:
-        """Ids of whole texts: each match of the pattern by itself, no special tokens."""
-        split = [self.split(text) for text in texts]
-        self.learn({token for tokens in split for token in tokens})
-        cache = self.cache
-        for tokens in split:
-            yield [i for token in tokens for i in cache[token]]
+        """Ids of whole texts, a list for each."""
+        ids, bounds = self.encode_flat(texts)
+        for begin, end in zip(bounds.tolist(), bounds[1:].tolist()):
+            yield ids[begin:end].tolist()
 
     def encode(self, text: str) -> list[int]:
         return next(self.encode_all([text]))
 
+    def decode_all(self, ids: pa.Array, bounds: np.ndarray) -> list[memoryview]:
+        """The bytes of the ids of each text, joined; they need not be whole characters."""
+        return _joined(self.token_bytes, ids, bounds)
+
     def decode(self, ids: Sequence[int]) -> bytes:
-        """The bytes of the ids, joined; they need not be whole characters."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+        return bytes(self.decode_all(pa.array(ids, pa.int64()), np.array([0, len(ids)]))[0])
 
 
 @functools.lru_cache(maxsize=2)
@@ -271,6 +367,18 @@ def load_model(path: str, pattern: str) -> BytePairModel:
     return BytePairModel(path, pattern)
 
 
+def _joined(table: pa.Array, ids: pa.Array, bounds: np.ndarray) -> list[memoryview]:
+    """The values of the table at the ids, joined from each bound to the next."""
+    values = table.take(ids)
+    if values.null_count:
+        raise KeyError("an id without a token")
+    if not len(values):
+        return [memoryview(b"")] * (len(bounds) - 1)
+    ends = np.frombuffer(values.buffers()[1], np.int64)[bounds].tolist()
+    data = memoryview(values.buffers()[2])
+    return [data[begin:end] for begin, end in zip(ends, ends[1:])]
+
+
 def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about PART_BYTES of text each, one row at least."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
@@ -308,7 +416,8 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_column: str =
     """
 
     def work(model: BytePairModel, batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = pa.array(list(model.encode_all(_texts(batch, 1))), pa.list_(pa.int32()))
+        ids, bounds = model.encode_flat(_texts(batch, 1))
+        ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
     return _map(docs, path, pattern, id_column, text, "doc_id long, ids array<int>", work)
@@ -320,7 +429,9 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load_model(path, pattern)
         for batch in batches:
-            decoded = pa.array([model.decode(ids.as_py() or []) for ids in batch.column(1)], pa.binary())
+            ids = batch.column(1)
+            bounds = np.r_[0, np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))]
+            decoded = pa.array(list(map(bytes, model.decode_all(ids.flatten(), bounds))), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), decoded], ["doc_id", "decoded"])
 
     ship_package(encoded.sparkSession)
@@ -332,12 +443,11 @@ def digest_documents(docs: DataFrame, path: str, pattern: str, id_column: str =
     ``encode_documents``."""
 
     def work(model: BytePairModel, batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts, encoded, decoded = [], [], []
-        for ids in model.encode_all(_texts(batch, 1)):
-            counts.append(len(ids))
-            encoded.append(hashlib.sha256(" ".join([model.decimal[i] for i in ids]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(model.decode(ids)).hexdigest())
-        columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+        ids, bounds = model.encode_flat(_texts(batch, 1))
+        ids = pa.array(ids)
+        encoded = [hashlib.sha256(text[:-1]).hexdigest() for text in _joined(model.decimal, ids, bounds)]
+        decoded = [hashlib.sha256(text).hexdigest() for text in model.decode_all(ids, bounds)]
+        columns = [batch.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return _map(docs, path, pattern, id_column, text, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", work)
