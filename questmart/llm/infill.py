@@ -83,13 +83,16 @@ class WaveletMatrix:
         return sum(self.rank(symbol, at) for symbol in symbols)
 
     def behind(self, symbols: tuple[int, ...], count: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """The least position in [low, high] with ``count`` boundaries before it, by bisection on ranks, all at once."""
+        """The least position in [low, high] with ``count`` boundaries before it, by bisection on ranks, all at once.
+
+        ``high`` may be one behind the sequence. No rank is asked for there: only searches still open ask, and each below its high.
+        """
         low, high = low.copy(), high.copy()
-        while (open_ := low < high).any():
-            middle = (low + high) >> 1
-            enough = self.boundaries(symbols, middle) >= count
-            high = np.where(open_ & enough, middle, high)
-            low = np.where(open_ & ~enough, middle + 1, low)
+        while (open_ := np.flatnonzero(low < high)).size:
+            middle = (low[open_] + high[open_]) >> 1
+            enough = self.boundaries(symbols, middle) >= count[open_]
+            high[open_[enough]] = middle[enough]
+            low[open_[~enough]] = middle[~enough] + 1
         return low
 
 
